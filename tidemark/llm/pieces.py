@@ -3,8 +3,8 @@
 A text is cut before its spaces (no piece of the vocabulary holds a space
 after another character, which is checked), and each part is merged by an
 agenda of candidate merges in order of their score. A candidate that comes to
-the top is skipped for good when a keyed hash of (seed, variant, part, place)
-falls below the dropout; the variant is dealt by a hash of the document's id.
+the top is skipped for good when a keyed hash of (seed, variant, part, how many
+came to the top before it) falls below the dropout; the variant is dealt by a hash of the document's id.
 So reruns agree, and a part gets different segmentations under different
 seeds and variants. With a dropout of 0 the result is the library's own.
 Characters outside the vocabulary become their UTF-8 bytes, and so does the
@@ -37,8 +37,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
-DROPOUT, SEED, VARIANTS = 0.1, 23, 4
-REMEMBERED = 600_000
+DROPOUT, SEED, VARIANTS = 0.1, 23, 2
+REMEMBERED = 1_000_000
+#: Parts of so many characters at most take the scanned agenda.
+SHORT = 48
+NONE = float("-inf")
 SPACE = "▁"
 
 
@@ -90,28 +93,49 @@ class Codec:
         return [self.bytes[b] for b in text.encode("utf-8", "replace")]
 
     def part(self, part: str, variant: int) -> bytes:
-        """The ids of a part (its leading spaces as U+2581; a literal U+2581 is written as NUL NUL here), two bytes each."""
-        symbols = list(part)
+        """The ids of a part (its leading spaces as U+2581), two bytes each."""
+        if len(part) == 1:
+            return self._pack([part])
+        draw = zlib.crc32(part.encode("utf-8", "replace"), self.seed * 8191 + variant)
+        return self._pack(self._short(list(part), draw) if len(part) <= SHORT else self._long(list(part), draw))
+
+    def _short(self, symbols: list[str], draw: int) -> list[str]:
+        """The agenda of a few candidates: a list of their scores, scanned for the best (the leftmost, if equal). Every candidate at the top advances the keyed draw."""
+        scores, below = self.scores.get, self.below
+        ranks = [scores(a + b, NONE) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while ranks:
+            best = max(ranks)
+            if best == NONE:
+                break
+            i = ranks.index(best)
+            if below:
+                draw = (draw * 1664525 + 1013904223) & 0xFFFFFFFF
+                if draw < below:
+                    ranks[i] = NONE
+                    continue
+            symbols[i] = merged = symbols[i] + symbols.pop(i + 1)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = scores(merged + symbols[i + 1], NONE)
+            if i:
+                ranks[i - 1] = scores(symbols[i - 1] + merged, NONE)
+        return symbols
+
+    def _long(self, symbols: list[str], draw: int) -> list[str]:
+        """The same with a heap and linked symbols, for parts without a bound."""
         n = len(symbols)
-        if n == 1:
-            return self._pack(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        scores, agenda = self.scores, []
-        for i in range(n - 1):
-            if (s := scores.get(symbols[i] + symbols[i + 1])) is not None:
-                agenda.append((-s, i, 2))
+        scores, below = self.scores, self.below
+        agenda = [(-s, i, 2) for i in range(n - 1) if (s := scores.get(symbols[i] + symbols[i + 1])) is not None]
         heapq.heapify(agenda)
-        key = zlib.crc32(part.encode("utf-8", "replace"), self.seed * 8191 + variant) if self.below else 0
-        pop, push, below = heapq.heappop, heapq.heappush, self.below
         while agenda:
-            _, i, size = pop(agenda)
-            left = symbols[i]
-            j = after[i]
+            _, i, size = heapq.heappop(agenda)
+            left, j = symbols[i], after[i]
             if not left or j >= n or len(left) + len(symbols[j]) != size:
                 continue
             if below:
-                h = ((key ^ (i << 6 | size)) * 0x9E3779B1) & 0xFFFFFFFF
-                if ((h ^ h >> 15) * 0x85EBCA6B) & 0xFFFFFFFF < below:
+                draw = (draw * 1664525 + 1013904223) & 0xFFFFFFFF
+                if draw < below:
                     continue
             symbols[i] = merged = left + symbols[j]
             symbols[j] = ""
@@ -119,20 +143,16 @@ class Codec:
             if k < n:
                 before[k] = i
                 if (s := scores.get(merged + symbols[k])) is not None:
-                    push(agenda, (-s, i, len(merged) + len(symbols[k])))
+                    heapq.heappush(agenda, (-s, i, len(merged) + len(symbols[k])))
             if (b := before[i]) >= 0 and (s := scores.get(symbols[b] + merged)) is not None:
-                push(agenda, (-s, b, len(symbols[b]) + len(merged)))
-        return self._pack([s for s in symbols if s])
+                heapq.heappush(agenda, (-s, b, len(symbols[b]) + len(merged)))
+        return [s for s in symbols if s]
 
     def _pack(self, symbols: list[str]) -> bytes:
-        out: list[int] = []
-        for s in symbols:
-            i = self.ids.get(s)
-            if i is not None:
-                out.append(i)
-            else:
-                out += self._bytes_of(SPACE if s == "\0\0" else s)
-        return array("H", out).tobytes()
+        ids = list(map(self.ids.get, symbols))
+        if None in ids:
+            ids = [b for s, i in zip(symbols, ids, strict=True) for b in ([i] if i is not None else self._bytes_of(s))]
+        return array("H", ids).tobytes()
 
     def encode(self, text: str, variant: int = 0) -> np.ndarray:
         """The ids of a text."""
