@@ -83,8 +83,7 @@ def _stars(nodes: DataFrame, recall: float) -> DataFrame:
     """Star links (a, b) of all trie runs at all depths looked at."""
 
     def keyed(df: DataFrame, d: int) -> DataFrame:
-        prefix = F.substring(F.col("sig"), F.col("tree") * (DEPTH * 4) + 1, F.lit(d * 4))
-        return df.withColumn("run", F.xxhash64(F.col("tree"), prefix))
+        return df.withColumn("run", F.xxhash64(F.col("tree"), F.substring(F.col("path"), F.lit(1), F.lit(d * 4))))
 
     def linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         heads = rows.groupBy("run").agg(F.min("k").alias("head"), F.count("*").alias("members")).where("members > 1").withColumnRenamed("run", "_run")
@@ -93,6 +92,7 @@ def _stars(nodes: DataFrame, recall: float) -> DataFrame:
 
     looked = depths(recall=recall)
     rows = nodes.select("k", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    rows = rows.select("k", "tree", F.substring(F.col("sig"), F.col("tree") * (DEPTH * 4) + 1, F.lit(DEPTH * 4)).alias("path"))
     slim = keyed(rows, looked[-1]).select("k", "tree", "run")
     met, links = linked(slim)
     if len(looked) > 1:
