@@ -27,6 +27,9 @@ model is uniform. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import pickle
+import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -295,14 +298,48 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(2, None, code, pairs[code])
 
 
-def _dense(counts: DataFrame, size: int) -> np.ndarray:
-    """Counts by code as an array. There are `size` codes at most, whatever the input."""
+def _gathered(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and counts as arrays, in order of the code. There are no more codes than the model's size, whatever the input."""
+    got = counts.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    code, n = got.column("code").to_numpy(), got.column("n").to_numpy()
+    order = np.argsort(code)
+    return code[order], n[order]
+
+
+def dense(code: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     out = np.zeros(size, np.float32)
-    for b in counts.groupBy("code").agg(F.sum("n").alias("n")).toArrow().to_batches():
-        out[b.column(0).to_numpy()] = b.column(1).to_numpy()
+    out[code] = n
     return out
 
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers, compressed: sorted ones as differences."""
+    parts = []
+    for a in arrays:
+        a = a.astype(np.int64)
+        rising = bool(len(a) and (np.diff(a) >= 0).all())
+        parts.append((rising, zlib.compress((np.diff(a, prepend=0) if rising else a).tobytes(), 1)))
+    return pickle.dumps(parts)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    return [np.cumsum(a) if rising else a for rising, raw in pickle.loads(data) for a in [np.frombuffer(zlib.decompress(raw), np.int64)]]
+
+
+_model: tuple[str, Model, dict[bytes, float]] | None = None
+
+
+def _built(tag: str, packed: bytes, words: list[bytes], counts: list[int]) -> tuple[Model, dict[bytes, float]]:
+    """The model and the words' logarithms, built once in a worker from the counts."""
+    global _model
+    if _model is None or _model[0] != tag:
+        _model = None
+        path, n, gram, gram_n, pair, pair_n = _unpacked(packed)
+        model = Model(dense(path, n, SYMBOLS ** (ORDER + 1)), gram, gram_n, dense(pair, pair_n, SYMBOLS * 512))
+        _model = tag, model, {w: float(np.log10(c + 1)) for w, c in zip(words, counts, strict=True)}
+    return _model[1:]
+
+
 def _frequent(grams: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     """The grams that occur at least so often that there are `most` at most."""
     by_count = grams.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().orderBy(F.col("n").desc()).collect()  # 10,000 rows at most
@@ -312,8 +349,7 @@ def _frequent(grams: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
         if held > most or r.n < 2:
             break
         least = r.n
-    got = grams.where(F.col("n") >= least).toArrow()
-    return got.column("code").to_numpy(), got.column("n").to_numpy()
+    return _gathered(grams.where(F.col("n") >= least))
 
 
 def train_is(column):  # noqa: ANN001, ANN201
@@ -332,14 +368,15 @@ def score(docs: DataFrame, hot: int = HOT) -> DataFrame:
     frequent = {bytes(r.word): r.c for r in counts.orderBy(F.col("c").desc(), "word").limit(hot).collect()}
     known_end = float(np.log10(frequent.get(END_WORD, 0) + 1)), int(END_WORD in frequent)
     grams = common.settle(parts.where("kind = 1").groupBy("code").agg(F.sum("n").alias("n")), "grams")
-    short = _dense(grams.select((F.col("code") % SYMBOLS ** (ORDER + 1)).alias("code"), "n"), SYMBOLS ** (ORDER + 1))
-    model = Model(short, *_frequent(grams, GRAMS), _dense(parts.where("kind = 2"), SYMBOLS * 512))
-    shared = spark.sparkContext.broadcast((model, frequent))  # fixed sizes: 67 MB and 72 MB of tables, `hot` words
-    del short, model, frequent
+    short = _gathered(grams.select((F.col("code") % SYMBOLS ** (ORDER + 1)).alias("code"), "n"))
+    packed = _packed(*short, *_frequent(grams, GRAMS), *_gathered(parts.where("kind = 2").select("code", "n")))
+    tag = uuid.uuid4().hex
+    # counts of fixed numbers at most: SYMBOLS**(ORDER+1) paths, GRAMS symbols in long contexts, `hot` words; workers build the tables from them
+    shared = spark.sparkContext.broadcast((packed, list(frequent), list(frequent.values())))
+    del short, packed, frequent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, frequent = shared.value
-        logs = {w: float(np.log10(c + 1)) for w, c in frequent.items()}
+        model, logs = _built(tag, *shared.value)
         row = TaskContext.get().partitionId() << 40
         names = ["kind", "row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "word", "tf"]
         for part, texts in common.text_chunks(batches, "text", 1 << 20):
