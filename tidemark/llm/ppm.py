@@ -365,15 +365,18 @@ def score(docs: DataFrame, hot: int = HOT) -> DataFrame:
     counts = common.settle(parts.where("kind = 0").groupBy("word").agg(F.sum("n").alias("c")), "words")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     log_all = float(np.log10(total + 1 * (distinct + 1)))
-    frequent = {bytes(r.word): r.c for r in counts.orderBy(F.col("c").desc(), "word").limit(hot).collect()}
-    known_end = float(np.log10(frequent.get(END_WORD, 0) + 1)), int(END_WORD in frequent)
+    top = counts.orderBy(F.col("c").desc(), "word").limit(hot).toArrow()
+    words, times = [bytes(w) for w in top.column("word").to_pylist()], top.column("c").to_pylist()
+    ends = counts.where(F.col("word") == F.lit(END_WORD)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    known_end = float(np.log10(ends + 1)), int(ends > 0)
+    del top
     grams = common.settle(parts.where("kind = 1").groupBy("code").agg(F.sum("n").alias("n")), "grams")
     short = _gathered(grams.select((F.col("code") % SYMBOLS ** (ORDER + 1)).alias("code"), "n"))
     packed = _packed(*short, *_frequent(grams, GRAMS), *_gathered(parts.where("kind = 2").select("code", "n")))
     tag = uuid.uuid4().hex
     # counts of fixed numbers at most: SYMBOLS**(ORDER+1) paths, GRAMS symbols in long contexts, `hot` words; workers build the tables from them
-    shared = spark.sparkContext.broadcast((packed, list(frequent), list(frequent.values())))
-    del short, packed, frequent
+    shared = spark.sparkContext.broadcast((packed, words, times))
+    del short, packed, words, times
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, logs = _built(tag, *shared.value)
