@@ -6,19 +6,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def allocation(order: str, line: str, amount: Column, weight: Column) -> Column:
-    """Each line's share of `amount` by weight, half-even to cents; the line with the highest id takes what rounding left (or all, if no line weighs anything)."""
-    whole = Window.partitionBy(order)
-    total = F.sum(weight).over(whole)
-    return F.when(total > 0, F.bround(amount * weight / F.when(total > 0, total), 2)).otherwise(F.lit(0)).cast("decimal(18,2)")
+def share(amount: Column, weight: Column, total: Column) -> Column:
+    """amount * weight / total, half-even to cents and exact: in whole cents, from quotient and remainder (decimal division would round to six digits first)."""
+    cents = lambda x: (F.abs(x) * 100).cast("decimal(18,0)")
+    product, whole = cents(amount) * cents(weight), (total * 100).cast("decimal(20,0)")
+    quotient = F.call_function("div", product, whole)
+    twice = (product - quotient.cast("decimal(18,0)") * whole) * 2
+    up = (twice > whole) | ((twice == whole) & (quotient % 2 == 1))
+    return (F.signum(amount).cast("decimal(1,0)") * (quotient + up.cast("int")).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
+
+
+def allocation(order: str, amount: Column, weight: Column) -> Column:
+    """Each line's share of `amount` by weight; 0 if no line weighs anything."""
+    total = F.sum(weight).over(Window.partitionBy(order))
+    return F.when(total > 0, share(amount, weight, F.when(total > 0, total))).otherwise(F.lit(0)).cast("decimal(18,2)")
 
 
 def allocate(df: DataFrame, order: str, line: str, amounts: dict[str, Column], weight: Column) -> DataFrame:
-    """df with one column for every amount. All windows share one partitioning, so there is one shuffle."""
+    """df with one column for every amount: the line with the highest id takes what rounding left (or all, if no line weighs anything). All windows share one partitioning, so there is one shuffle."""
     whole, last = Window.partitionBy(order), Window.partitionBy(order).orderBy(F.col(line).desc())
     df = df.withColumn("_last", F.row_number().over(last) == 1)
     for name, amount in amounts.items():
-        df = df.withColumn("_raw", allocation(order, line, amount, weight))
+        df = df.withColumn("_raw", allocation(order, amount, weight))
         rest = amount - (F.sum("_raw").over(whole) - F.col("_raw"))
         df = df.withColumn(name, F.when(F.col("_last"), rest).otherwise(F.col("_raw")).cast("decimal(18,2)"))
     return df.drop("_last", "_raw")
