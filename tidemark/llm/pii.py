@@ -271,24 +271,24 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["k"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find(df: DataFrame, text: str = "text", use_model: Model | None = None) -> DataFrame:
-    """Adds base and all: arrays of struct(start, k, end), code points, end exclusive, k an index of KINDS, sorted by (start, k, end)."""
+def find(df: DataFrame, text: str = "text", use_model: Model | None = None, base: str = "base", every: str = "all") -> DataFrame:
+    """Adds base and all (or as named): arrays of struct(start, k, end), code points, end exclusive, k an index of KINDS, sorted by (start, k, end)."""
     m = use_model or model()
     clean = F.coalesce(F.col(text), F.lit(""))
     df = df.withColumn("_pii_text", clean)
     t = F.col("_pii_text")
     df = df.withColumns({f"_pii_{k}": _plain(_base(t, k)) for k in KINDS})
-    df = df.withColumn("base", F.array_sort(F.concat(*[F.col(f"_pii_{k}") for k in KINDS])))
-    df = df.withColumn("_pii_masked", _masked(t, F.col("base")))
+    df = df.withColumn(base, F.array_sort(F.concat(*[F.col(f"_pii_{k}") for k in KINDS])))
+    df = df.withColumn("_pii_masked", _masked(t, F.col(base)))
     df = df.withColumn("_pii_added", _plain(_added(F.col("_pii_masked"), m)))
-    df = df.withColumn("all", F.array_sort(F.concat("base", "_pii_added")))
+    df = df.withColumn(every, F.array_sort(F.concat(base, "_pii_added")))
     return df.drop("_pii_text", "_pii_masked", "_pii_added", *[f"_pii_{k}" for k in KINDS])
 
 
 def redact(df: DataFrame, text: str = "text", use_model: Model | None = None) -> DataFrame:
     """The table with every span's text replaced by its kind in brackets, as [EMAIL]. Overlapping spans become one, named by the first. A null text stays null."""
     columns = df.columns
-    found = find(df.withColumn("_pii_row", F.col(text)), "_pii_row", use_model)
+    found = find(df.withColumn("_pii_row", F.col(text)), "_pii_row", use_model, "_pii_base", "_pii_every")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     t = F.col("_pii_row")
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
@@ -297,8 +297,8 @@ def redact(df: DataFrame, text: str = "text", use_model: Model | None = None) ->
         fresh = F.concat(s["parts"], F.array(F.substring(t, s["at"] + 1, x["start"] - s["at"]), F.element_at(names, x["k"] + 1)))
         return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] >= s["at"], fresh).otherwise(s["parts"]).alias("parts"))
 
-    done = F.aggregate(F.col("all"), state, step, lambda s: F.concat(s["parts"], F.array(F.substring(t, s["at"] + 1, F.length(t)))))
-    out = F.when(F.size("all") > 0, F.array_join(done, "")).otherwise(t)
+    done = F.aggregate(F.col("_pii_every"), state, step, lambda s: F.concat(s["parts"], F.array(F.substring(t, s["at"] + 1, F.length(t)))))
+    out = F.when(F.size("_pii_every") > 0, F.array_join(done, "")).otherwise(t)
     return found.withColumn(text, out).select(*columns)
 
 
