@@ -11,9 +11,10 @@ Characters outside the vocabulary become their UTF-8 bytes, and so does the
 literal U+2581, which otherwise stands for a space; so decoding always gives
 the text back.
 
-The vocabulary (its size is the tokenizer's) travels with the function. Parts
-of up to REMEMBERED are remembered in a worker and forgotten together when the
-memory is full. No shuffle.
+The vocabulary (its size is the tokenizer's) travels with the function. A
+worker remembers parts in two generations of REMEMBERED each for a variant:
+when the young one is full it becomes the old one, and parts seen again move
+to the young one, so frequent parts stay. No shuffle.
 
 Cases: a null text has null ids and decodes to null; the empty text has no ids
 and decodes to ''. Very long texts and parts without spaces are encoded whole.
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 DROPOUT, SEED, VARIANTS = 0.1, 23, 2
-REMEMBERED = 1_000_000
+REMEMBERED = 110_000
 #: Parts of so many characters at most take the scanned agenda.
 SHORT = 48
 NONE = float("-inf")
@@ -87,7 +88,7 @@ class Codec:
         if min(self.bytes) < 0:
             raise ValueError("the vocabulary has no byte pieces")
         self.below, self.seed = int(dropout * (1 << 32)), seed
-        self.seen: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
+        self.seen: list[tuple[dict[str, bytes], dict[str, bytes]]] = [({}, {}) for _ in range(VARIANTS)]
 
     def _bytes_of(self, text: str) -> list[int]:
         return [self.bytes[b] for b in text.encode("utf-8", "replace")]
@@ -158,9 +159,9 @@ class Codec:
         """The ids of a text."""
         if not text:
             return np.zeros(0, np.uint16)
-        seen = self.seen[variant]
-        if len(seen) > REMEMBERED // VARIANTS:
-            seen.clear()
+        young, old = self.seen[variant]
+        if len(young) > REMEMBERED:
+            young, old = self.seen[variant] = {}, young
         if SPACE in text:
             return np.frombuffer(b"".join(self._literal(text, variant)), np.uint16)
         words = text.split(" ")
@@ -174,17 +175,17 @@ class Codec:
                     run = ""
             words = [*parts, run] if run else parts
             for w in words:
-                if (got := seen.get(w)) is None:
-                    got = self.part(w, variant)
+                if (got := young.get(w)) is None:
+                    got = old.get(w) or self.part(w, variant)
                     if len(w) <= 64:
-                        seen[w] = got
+                        young[w] = got
                 out.append(got)
         else:
             for w in words:
-                if (got := seen.get(w)) is None:
-                    got = self.part(SPACE + w, variant)
+                if (got := young.get(w)) is None:
+                    got = old.get(w) or self.part(SPACE + w, variant)
                     if len(w) <= 64:
-                        seen[w] = got
+                        young[w] = got
                 out.append(got)
         return np.frombuffer(b"".join(out), np.uint16)
 
@@ -222,15 +223,10 @@ def variants_of(keys: list) -> list[int]:
     return [0 if k is None else zlib.crc32(str(k).encode()) % VARIANTS for k in keys]
 
 
-def _columns(df: DataFrame, drop: str) -> tuple[DataFrame, str, list[str]]:
-    df = df.select(*[c for c in df.columns if c != drop])
-    return df, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), df.columns
-
-
-def encode(df: DataFrame, key: str = "doc_id", text: str = "text", model: str | None = None, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
-    """The table with ids, an array of int."""
+def _encoded(df: DataFrame, key: str, text: str, model: str | None, dropout: float, seed: int, into: str | None) -> DataFrame:
     common.tune(df.sparkSession)
-    df, schema, names = _columns(df, "ids")
+    df = df.select(*[c for c in df.columns if c not in ("ids", into)])
+    names, schema = df.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     proto = model_bytes(model or default_model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,15 +236,27 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", model: str |
             got = [codec.encode(t.decode("utf-8", "replace"), v) for t, v in zip(texts, variants_of(part.column(names.index(key)).to_pylist()), strict=True)]
             ends = np.cumsum([0, *map(len, got)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(null, False)), pa.array(np.concatenate(got).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*names, "ids"])
+            more = [pa.array([None if n else codec.decode(g) for g, n in zip(got, null, strict=True)], pa.string())] if into else []
+            yield pa.RecordBatch.from_arrays([*part.columns, ids, *more], names=[*names, "ids", *([into] if into else [])])
+
+    return df.mapInArrow(run, f"{schema}, ids array<int>" + (f", `{into}` string" if into else ""))
+
+
+def encode(df: DataFrame, key: str = "doc_id", text: str = "text", model: str | None = None, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+    """The table with ids, an array of int."""
+    return _encoded(df, key, text, model, dropout, seed, None)
+
 
-    return df.mapInArrow(run, f"{schema}, ids array<int>")
+def round_trip(df: DataFrame, key: str = "doc_id", text: str = "text", into: str = "decoded", model: str | None = None, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+    """The table with ids and the text decoded from them, both made in one worker."""
+    return _encoded(df, key, text, model, dropout, seed, into)
 
 
 def decode(df: DataFrame, ids: str = "ids", into: str = "decoded", model: str | None = None) -> DataFrame:
     """The table with the text of the ids."""
     common.tune(df.sparkSession)
-    df, schema, names = _columns(df, into)
+    df = df.select(*[c for c in df.columns if c != into])
+    names, schema = df.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     proto = model_bytes(model or default_model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,9 +270,8 @@ def decode(df: DataFrame, ids: str = "ids", into: str = "decoded", model: str |
     return df.mapInArrow(run, f"{schema}, `{into}` string")
 
 
-def digest(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_pieces, a digest of the ids, and the digest of the decoded text beside the text's own."""
-    both = decode(encoded)
+def digest(both: DataFrame) -> DataFrame:
+    """doc_id, n_pieces, digests of the ids and of the decoded text, and whether that is the text."""
     own = lambda c: F.sha2(F.coalesce(F.col(c), F.lit("")).cast("binary"), 256)
     return both.select(
         "doc_id", F.greatest(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
@@ -275,4 +282,4 @@ def digest(encoded: DataFrame) -> DataFrame:
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with merge-dropout and decoded again."""
     docs = common.read(spark, sf_dir, "documents").select("doc_id", "text")
-    return digest(encode(docs))
+    return digest(round_trip(docs))
