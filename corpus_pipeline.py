@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of each text, its source, and whether they decode to it."""
-    both = pieces.decode(pieces.encode(docs.select("doc_id", "source", "text")))
+    both = pieces.round_trip(docs.select("doc_id", "source", "text"))
     return both.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_pieces"), F.col("text").eqNullSafe(F.col("decoded")).alias("lossless"))
 
 
