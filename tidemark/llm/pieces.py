@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 DROPOUT, SEED, VARIANTS = 0.1, 23, 2
-REMEMBERED = 110_000
+REMEMBERED = 160_000
 #: Parts of so many characters at most take the scanned agenda.
 SHORT = 48
 NONE = float("-inf")
