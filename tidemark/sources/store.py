@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
@@ -123,7 +123,9 @@ class Table:
         for v in range(first, last + 1):
             e = self.entry(v)
             if e.changes:
-                parts.append(self.spark.read.parquet(f"{self.path}/{e.changes}").withColumn("_commit_version", F.lit(v).cast("bigint")))
+                rows = self.spark.read.parquet(f"{self.path}/{e.changes}")
+                rows = rows if CHANGE in rows.columns else rows.withColumn(CHANGE, F.lit("insert"))
+                parts.append(rows.withColumn("_commit_version", F.lit(v).cast("bigint")))
         if not parts:
             schema = StructType.fromJson(json.loads(self.entry(last).schema)).add(CHANGE, "string").add("_commit_version", "long")
             return self.spark.createDataFrame([], schema)
@@ -132,8 +134,8 @@ class Table:
     def _committed(self, writer: str | None, txn: int | None) -> bool:
         return writer is not None and txn is not None and self.exists() and self.entry().txns.get(writer, -1) >= txn
 
-    def commit(self, operation: str, data: DataFrame | None, *, changes: DataFrame | None = None, add: bool = False, metadata: dict[str, Any] | None = None, writer: str | None = None, txn: int | None = None, properties: dict[str, str] | None = None, expected: int | None = None) -> int | None:
-        """Commit the next version; None if this writer's transaction is already in. `add` keeps the live folders; `expected` is the version the work was based on."""
+    def commit(self, operation: str, data: DataFrame | None, *, changes: DataFrame | None = None, inserted: bool = False, add: bool = False, metadata: dict[str, Any] | None = None, writer: str | None = None, txn: int | None = None, properties: dict[str, str] | None = None, expected: int | None = None, check: Callable[[DataFrame], dict[str, Any]] | None = None) -> int | None:
+        """Commit the next version; None if this writer's transaction is already in. `add` keeps the live folders; `inserted` says that all rows are new, so they are their own change feed; `expected` is the version the work was based on; `check` reads the written rows before they count, and gives more metadata or raises."""
         if self._committed(writer, txn):
             return None
         before = self.entry() if self.exists() else None
@@ -151,8 +153,14 @@ class Table:
                 both = data.schema
             schema = json.dumps(json.loads(both.json()))
             data.write.parquet(f"{self.path}/data/{tag}")
+            if check:
+                try:
+                    metadata = (metadata or {}) | check(self.spark.read.schema(data.schema).parquet(f"{self.path}/data/{tag}"))
+                except Exception:
+                    self.files.delete("data", tag)
+                    raise
             folders.append(f"data/{tag}")
-        feed = None
+        feed = f"data/{tag}" if inserted else None
         if changes is not None:
             feed = f"changes/{tag}"
             changes.write.parquet(f"{self.path}/{feed}")
@@ -174,10 +182,10 @@ class Table:
                     raise
 
     def overwrite(self, data: DataFrame, **commit: Any) -> int | None:
-        return self.commit("overwrite", data, changes=data.withColumn(CHANGE, F.lit("insert")), **commit)
+        return self.commit("overwrite", data, inserted=True, **commit)
 
     def append(self, data: DataFrame, **commit: Any) -> int | None:
-        return self.commit("append", data, add=True, changes=data.withColumn(CHANGE, F.lit("insert")), **commit)
+        return self.commit("append", data, add=True, inserted=True, **commit)
 
     def merge(self, source: DataFrame, keys: Sequence[str], sequence: Sequence[str] = (), *, delete_keys: DataFrame | None = None, hard: bool = False, drop_missing: bool = False, **commit: Any) -> int | None:
         """Keyed upsert. The result is written once, marked; the next version and its change feed are cut from that."""
