@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators import current
-from tidemark.sources.store import Table
+from tidemark.sources.store import CHANGE, Files, Table
 from tidemark.streaming import cdc
 
 
@@ -26,7 +26,9 @@ def kafka(spark: SparkSession, servers: str, *, topics: str | None = None, patte
 
 
 def files(spark: SparkSession, path: str, schema: StructType, most: int | None = 8) -> DataFrame:
-    """A stream of Parquet files as they arrive, so many a micro-batch at most."""
+    """A stream of Parquet files as they arrive, so many a micro-batch at most. The folder is made if there is none, so readers may start before writers."""
+    folder = Files(spark, path)
+    folder.fs.mkdirs(folder.root)
     reader = spark.readStream.schema(schema)
     return (reader.option("maxFilesPerTrigger", most) if most else reader).parquet(path)
 
@@ -64,13 +66,16 @@ def split(stream: DataFrame, tables: Mapping[str, Table], quarantine: Table, sch
         try:
             name = f"{query}:{n}"
             typed, bad = cdc.decode(kept, schemas, keys, name)
+            written = {}
             for t, rows in typed.items():
                 if not rows.isEmpty():
-                    tables[t].append(rows, writer=query, txn=n)
+                    written[t] = tables[t].append(rows, writer=query, txn=n)
             if not bad.isEmpty():
                 quarantine.append(bad, writer=query, txn=n)
             if then:
-                then({t: tables[t].read().where(f"_batch_id = '{name}'") for t in typed if tables[t].exists()}, n)
+                # a replayed batch has no new version; its rows are found by its name
+                committed = lambda t, v: tables[t].read().where(f"_batch_id = '{name}'") if v is None else tables[t].changes(v, v).drop(CHANGE, "_commit_version")
+                then({t: committed(t, v) for t, v in written.items()}, n)
         finally:
             kept.unpersist()
 
