@@ -21,7 +21,7 @@ def rows(df, *drop):
 
 
 def test_batch_runs_incremental_equals_full(spark, tmp_path):
-    shop, lake = Shop().bootstrap(4, 8), lake_at(spark, tmp_path)
+    shop, lake = Shop().bootstrap(4, 8), lake_at(spark, tmp_path, buckets=3)
     first = batch.run(lake, bronze.FrameLog(shop.log(spark)), check=True, batch_id="one")
     assert first["gold"]["mode"] == "full" and first["bronze"]["orders"]["rows"] == 8
     assert first["validation"]["gold"]["fact_rows"] == len(shop.rows["order_items"])

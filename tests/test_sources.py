@@ -52,6 +52,24 @@ def test_new_columns_are_added_on_append(spark, tmp_path):
     assert sorted(map(str, t.read().collect())) == sorted(map(str, frame(spark, [(1, "a", None), (2, "b", 1.0)], "k int, v string, w double").collect()))
 
 
+def test_merge_rewrites_only_touched_buckets(spark, tmp_path):
+    whole, split = Table(spark, f"file://{tmp_path}/a"), Table(spark, f"file://{tmp_path}/b", 8)
+    steps = [([(k, "a") for k in range(40)], []), ([(3, "x")], [7]), ([(3, "x")], []), ([(99, "new"), (None, "z")], []), ([(k, "y") for k in range(40)], [99])]
+    before = ()
+    for n, (rows, gone) in enumerate(steps):
+        got = [t.merge(frame(spark, rows, "k bigint, v string" if n == 3 else "k int, v string"), ["k"], delete_keys=frame(spark, [(g,) for g in gone], "k int") if n else None) for t in (whole, split)]
+        assert got[0] == got[1] and sorted(map(str, whole.read().collect())) == sorted(map(str, split.read().collect())), n
+        if n == 1:
+            assert len(set(before) - set(split.entry().folders)) in (1, 2) and len(before) == 8
+        before = split.entry().folders
+    changes = [sorted(map(str, t.changes(0, 3).collect())) for t in (whole, split)]
+    assert changes[0] == changes[1] and split.entry().keys == ("k",)
+    split.append(frame(spark, [(500, "late")]))
+    split.merge(frame(spark, [(500, "later")]), ["k"])
+    split.set_properties(owner="x")
+    assert split.read().where("k = 500").first().v == "later" and split.entry().buckets == 8 and split.read(0).count() == 40
+
+
 def test_merge_and_change_feed(spark, tmp_path):
     t = Table(spark, f"file://{tmp_path}/t")
     t.merge(frame(spark, [(1, "a"), (2, "b"), (3, "c")]), ["k"])

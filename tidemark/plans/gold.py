@@ -79,7 +79,7 @@ def version_members(name: str, table: Table, members: DataFrame) -> None:
     born = F.coalesce("source_created_at", "effective_from")
     if not table.exists():
         first = scd2.with_keys(members.withColumn("effective_from", born), member, key)
-        table.overwrite(dimensions.with_unknown(first.withColumns({"effective_to": F.lit(c.OPEN_END).cast("timestamp"), "is_current": F.lit(True)}), key))
+        table.overwrite(dimensions.with_unknown(first.withColumns({"effective_to": F.lit(c.OPEN_END).cast("timestamp"), "is_current": F.lit(True)}), key), keys=(key,))
         return
     held = affected.within(table.read(), members, member)
     known = held.select(member).distinct().withColumn("_known", F.lit(True))
@@ -103,7 +103,7 @@ def put_members(table: Table, members: DataFrame, key: str) -> None:
     if table.exists():
         table.merge(members, [key])
     else:
-        table.overwrite(dimensions.with_unknown(members, key))
+        table.overwrite(dimensions.with_unknown(members, key), keys=(key,))
 
 
 def promotion_members(order_vouchers: DataFrame, vouchers: DataFrame) -> DataFrame:
@@ -160,7 +160,7 @@ def build(lake: Lake, batch_id: str, full: bool = False) -> dict[str, object]:
             table = lake.gold("dim_customer")
             if full or not table.exists():
                 rebuilt = customer_versions(history)
-                table.overwrite(dimensions.with_unknown(rebuilt, CUSTOMER[2]))
+                table.overwrite(dimensions.with_unknown(rebuilt, CUSTOMER[2]), keys=(CUSTOMER[2],))
                 return
             new = lake.history("app_users").changes(moved["app_users_history"][0] + 1, moved["app_users_history"][1]) if "app_users_history" in moved else history.limit(0)
             ids = work.keep(affected.ids([new], CUSTOMER[0]), "customers")
@@ -202,7 +202,7 @@ def build(lake: Lake, batch_id: str, full: bool = False) -> dict[str, object]:
             facts = work.keep(fact.sales(scope, dims), "facts")
             report = gate(facts, scope["orders"], scope["order_items"], dims, full)
             if full or not table.exists():
-                table.overwrite(facts)
+                table.overwrite(facts, keys=("sales_key",))
             else:
                 held = table.read().join(orders.withColumnRenamed("order_id", "source_order_id"), "source_order_id", "left_semi")  # type: ignore[union-attr]
                 table.merge(facts, ["sales_key"], delete_keys=affected.stale(held, facts, ["sales_key"]))

@@ -30,13 +30,13 @@ class Lake:
         return Table(self.spark, f"{self.root}/bronze_cdc/{table}")
 
     def silver(self, table: str) -> Table:
-        return Table(self.spark, f"{self.root}/silver/{table}")
+        return Table(self.spark, f"{self.root}/silver/{table}", self.settings.buckets)
 
     def history(self, table: str) -> Table:
         return Table(self.spark, f"{self.root}/history/{table}")
 
     def gold(self, table: str) -> Table:
-        return Table(self.spark, f"{self.root}/gold/{table}")
+        return Table(self.spark, f"{self.root}/gold/{table}", self.settings.buckets)
 
     def lock(self) -> Table:
         return Table(self.spark, f"{self.root}/control/writer")

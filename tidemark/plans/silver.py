@@ -61,7 +61,7 @@ def one(lake: Lake, name: str, full: bool) -> Built:
     if full or done is None:
         events = everything(lake, name, version)
         history.overwrite(log(events, c), metadata={DONE: version})
-        now.overwrite(state(events, c), metadata={DONE: version})
+        now.overwrite(state(events, c), keys=(c.key,), metadata={DONE: version})
         return Built(name, "snapshot", changed_version(now))
     if done > version:
         raise ValueError(f"{name}: current state is at {done}, raw events only at {version}")

@@ -62,6 +62,8 @@ class Settings:
     runs: str = "runs"
     gold_owner: str = "batch"
     parallel_tables: int = 4
+    #: Folders that a merged table is split into by its key's hash; 0 for one. A merge rewrites the folders it touches.
+    buckets: int = 0
     lock_wait_seconds: float = 600
     lock_ttl_seconds: float = 21_600
     spark: Mapping[str, str] = field(default_factory=dict)

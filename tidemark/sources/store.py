@@ -4,7 +4,8 @@ A table is `<path>/data/<version>-<id>/` (Parquet), `<path>/changes/<version>-<i
 and `<path>/_log/<20 digits>.json`. A commit writes its files first and then
 creates the next log entry, failing if another writer has created it. Entries
 hold the live folders, the schema, metadata and the newest transaction of each
-writer. All files go through Hadoop's file systems, so any of them will do.
+writer. A table made with buckets lies in one folder a bucket of its key's
+hash, and a merge reads and rewrites only the buckets that its source touches. All files go through Hadoop's file systems, so any of them will do.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators import current
 
 CHANGE = "_change_type"
+BUCKET = "_bucket"
 
 
 class Conflict(RuntimeError):
@@ -39,6 +41,13 @@ class Entry:
     metadata: dict[str, Any] = field(default_factory=dict)
     txns: dict[str, int] = field(default_factory=dict)
     properties: dict[str, str] = field(default_factory=dict)
+    #: The key columns and the number of buckets, or nothing.
+    keys: tuple[str, ...] = ()
+    buckets: int = 0
+
+    def of(self, buckets: set[int]) -> tuple[str, ...]:
+        """The live folders of these buckets."""
+        return tuple(f for f in self.folders if int(f.rsplit("=", 1)[1]) in buckets)
 
 
 class Files:
@@ -87,8 +96,9 @@ class Files:
 
 
 class Table:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.files = spark, path.rstrip("/"), Files(spark, path.rstrip("/"))
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 0):
+        """`buckets` counts for a table that is yet to be made."""
+        self.spark, self.path, self.files, self.buckets = spark, path.rstrip("/"), Files(spark, path.rstrip("/")), buckets
 
     def versions(self) -> list[int]:
         return [int(n[:20]) for n in self.files.names("_log") if n.endswith(".json") and n[0] != "."]
@@ -101,7 +111,7 @@ class Table:
         if not all_versions or (version is not None and version not in all_versions):
             raise ValueError(f"no version {'' if version is None else version} of {self.path}")
         raw = json.loads(self.files.read("_log", f"{all_versions[-1] if version is None else version:020d}.json"))
-        return Entry(**raw | {"folders": tuple(raw["folders"])})
+        return Entry(**raw | {"folders": tuple(raw["folders"]), "keys": tuple(raw.get("keys", ()))})
 
     def history(self, most: int = 100) -> list[Entry]:
         return [self.entry(v) for v in self.versions()[::-1][:most]]
@@ -110,12 +120,23 @@ class Table:
         """The newest value of a metadata key within the last 100 commits."""
         return next((e.metadata[key] for e in self.history() if key in e.metadata), None)
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def read(self, version: int | None = None, buckets: set[int] | None = None) -> DataFrame:
         e = self.entry(version)
         schema = StructType.fromJson(json.loads(e.schema))
-        if not e.folders:
+        folders = e.folders if buckets is None else e.of(buckets)
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in e.folders])
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
+
+    @staticmethod
+    def _bucket(schema: StructType, keys: Sequence[str], n: int) -> Column:
+        """A row's bucket; keys are hashed in the table's types."""
+        return F.pmod(F.xxhash64(*[F.col(k).cast(schema[k].dataType) for k in keys]), F.lit(n)).cast("int")
+
+    def _touched(self, entry: Entry, *frames: DataFrame) -> set[int]:
+        """Buckets that rows fall into: as many as the table has at most."""
+        at = self._bucket(StructType.fromJson(json.loads(entry.schema)), entry.keys, entry.buckets)
+        return {r[0] for df in frames for r in df.select(at.alias("b")).distinct().collect()}
 
     def changes(self, first: int, last: int) -> DataFrame:
         """Rows changed in versions first..last, with _change_type and _commit_version."""
@@ -123,7 +144,7 @@ class Table:
         for v in range(first, last + 1):
             e = self.entry(v)
             if e.changes:
-                rows = self.spark.read.parquet(f"{self.path}/{e.changes}")
+                rows = self.spark.read.parquet(f"{self.path}/{e.changes}").drop(BUCKET)
                 rows = rows if CHANGE in rows.columns else rows.withColumn(CHANGE, F.lit("insert"))
                 parts.append(rows.withColumn("_commit_version", F.lit(v).cast("bigint")))
         if not parts:
@@ -134,8 +155,8 @@ class Table:
     def _committed(self, writer: str | None, txn: int | None) -> bool:
         return writer is not None and txn is not None and self.exists() and self.entry().txns.get(writer, -1) >= txn
 
-    def commit(self, operation: str, data: DataFrame | None, *, changes: DataFrame | None = None, inserted: bool = False, add: bool = False, metadata: dict[str, Any] | None = None, writer: str | None = None, txn: int | None = None, properties: dict[str, str] | None = None, expected: int | None = None, check: Callable[[DataFrame], dict[str, Any]] | None = None) -> int | None:
-        """Commit the next version; None if this writer's transaction is already in. `add` keeps the live folders; `inserted` says that all rows are new, so they are their own change feed; `expected` is the version the work was based on; `check` reads the written rows before they count, and gives more metadata or raises."""
+    def commit(self, operation: str, data: DataFrame | None, *, changes: DataFrame | None = None, inserted: bool = False, add: bool = False, metadata: dict[str, Any] | None = None, writer: str | None = None, txn: int | None = None, properties: dict[str, str] | None = None, expected: int | None = None, check: Callable[[DataFrame], dict[str, Any]] | None = None, keys: Sequence[str] = (), kept: Sequence[str] = ()) -> int | None:
+        """Commit the next version; None if this writer's transaction is already in. `add` keeps the live folders; `inserted` says that all rows are new, so they are their own change feed; `expected` is the version the work was based on; `check` reads the written rows before they count, and gives more metadata or raises; `keys` are hashed into buckets, where the table has any; `kept` are live folders that stay."""
         if self._committed(writer, txn):
             return None
         before = self.entry() if self.exists() else None
@@ -143,7 +164,9 @@ class Table:
         if expected is not None and version != expected + 1:
             raise Conflict(f"{self.path}: based on {expected}, now at {version - 1}")
         tag = f"{version}-{uuid.uuid4().hex}"
-        folders = list(before.folders) if before and (add or data is None) else []
+        folders = list(before.folders) if before and (add or data is None) else list(kept)
+        buckets = before.buckets if before and (add or data is None or kept) else self.buckets if keys else 0
+        keys = before.keys if before and buckets and (add or data is None or kept) else tuple(keys)
         schema = before.schema if before else ""
         if data is not None:
             if add and before:
@@ -152,14 +175,17 @@ class Table:
             else:
                 both = data.schema
             schema = json.dumps(json.loads(both.json()))
-            data.write.parquet(f"{self.path}/data/{tag}")
+            if buckets:
+                data.withColumn(BUCKET, self._bucket(StructType.fromJson(json.loads(schema)), keys, buckets)).repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/data/{tag}")
+            else:
+                data.write.parquet(f"{self.path}/data/{tag}")
             if check:
                 try:
-                    metadata = (metadata or {}) | check(self.spark.read.schema(data.schema).parquet(f"{self.path}/data/{tag}"))
+                    metadata = (metadata or {}) | check(self.spark.read.schema(data.schema).parquet(f"{self.path}/data/{tag}").drop(BUCKET))
                 except Exception:
                     self.files.delete("data", tag)
                     raise
-            folders.append(f"data/{tag}")
+            folders += [f"data/{tag}/{n}" for n in self.files.names(f"data/{tag}") if n.startswith(f"{BUCKET}=")] if buckets else [f"data/{tag}"]
         feed = f"data/{tag}" if inserted else None
         if changes is not None:
             feed = f"changes/{tag}"
@@ -167,8 +193,8 @@ class Table:
         txns = dict(before.txns) if before else {}
         if writer is not None and txn is not None:
             txns[writer] = txn
-        entry = Entry(version, operation, tuple(folders), schema, feed, metadata or {}, txns, (before.properties if before else {}) | (properties or {}))
-        if not self.files.create(json.dumps(entry.__dict__ | {"folders": list(entry.folders)}), "_log", f"{version:020d}.json"):
+        entry = Entry(version, operation, tuple(folders), schema, feed, metadata or {}, txns, (before.properties if before else {}) | (properties or {}), tuple(keys) if buckets else (), buckets)
+        if not self.files.create(json.dumps(entry.__dict__), "_log", f"{version:020d}.json"):
             raise Conflict(f"{self.path}: version {version} exists")
         return version
 
@@ -194,9 +220,12 @@ class Table:
             return None
         if not self.exists():
             first = source.where("_operation <> 'DELETE'") if hard else source
-            return self.overwrite(first, **commit)
-        base = self.entry().version
-        target = self.read(base)
+            return self.overwrite(first, keys=tuple(keys), **commit)
+        entry = self.entry()
+        base, inside = entry.version, None
+        if entry.buckets and entry.keys == tuple(keys) and not drop_missing:
+            inside = self._touched(entry, source, *([delete_keys] if delete_keys is not None else []))
+        target = self.read(base, inside)
         result = current.upsert(target, source.select(*target.columns), keys, sequence, delete_keys=delete_keys, hard=hard, drop_missing=drop_missing)
         scratch = f"{self.path}/data/.merge-{uuid.uuid4().hex}"
         result.write.parquet(scratch)
@@ -210,7 +239,8 @@ class Table:
         feed = touched.where("_change <> 'delete'").withColumn(CHANGE, kinds[F.col("_change")]).drop("_change")
         gone = touched.where("_change = 'delete'").select(*keys).withColumn("_gone", F.lit(True))
         before = old.join(gone, list(keys), "left").withColumn(CHANGE, F.when(F.col("_gone"), "delete").otherwise("update_preimage")).drop("_gone")
-        version = self.commit("merge", current.merged(marked), changes=feed.unionByName(before), expected=base, **commit)
+        left = () if inside is None else tuple(f for f in entry.folders if f not in entry.of(inside))
+        version = self.commit("merge", current.merged(marked), changes=feed.unionByName(before), expected=base, keys=tuple(keys) if entry.buckets else (), kept=left, **commit)
         self.files.delete(*scratch.removeprefix(self.path + "/").split("/"))
         return version
 
