@@ -42,7 +42,10 @@ def test_batch_runs_incremental_equals_full(spark, tmp_path):
     versions = lake.gold("dim_shop").read().where("source_shop_id is not null").groupBy("source_shop_id").agg(F.sum(F.col("is_current").cast("int")).alias("n"))
     assert {r.n for r in versions.collect()} == {1} and lake.gold("dim_shop").read().count() == 5
     assert lake.releases().read("fact_sales", lake.gold("fact_sales")).count() == len(shop.rows["order_items"])
-    lake.silver("orders").append(lake.silver("orders").read().limit(1))
+    silver.preflight(lake, {"shops": lake.bronze("shops").read()})
+    lake.silver("orders").append(lake.silver("orders").read().limit(1).withColumn("more", F.lit(1)))
+    with pytest.raises(ValueError, match="more"):
+        silver.preflight(lake, {"shops": lake.bronze("shops").read(), "orders": lake.bronze("orders").read()})
     with pytest.raises(validate.AuditError, match="keys repeat"):
         validate.table(lake, "orders")
 

@@ -173,6 +173,7 @@ def test_stream_split_is_replayed_once(spark, tmp_path):
     for checkpoint in ("a", "b"):
         stream.split(source, {"t": t}, q, SCHEMAS, {"t": ["id"]}, f"{tmp_path}/{checkpoint}", "query", then=lambda d, n: seen.append(d["t"].count())).awaitTermination()
     assert t.read().count() == 1 and q.read().count() == 1 and seen == [1, 1]
+    source = stream.files(spark, f"{tmp_path}/in", cdc.normalise(rows).schema, most_bytes=1 << 20)
     stream.append(source, f"{tmp_path}/raw", f"{tmp_path}/c").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/raw").count() == 2
 

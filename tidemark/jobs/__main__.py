@@ -121,7 +121,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         stream.guard_checkpoint(_local(checkpoint(s, "merge")), lake.silver("orders").exists())
         reconciler = gold.Reconciler(lake)
-        source = stream.files(spark, raw, envelope_schema(spark), s.streaming.most_files)
+        source = stream.files(spark, raw, envelope_schema(spark), s.streaming.most_files, s.streaming.most_bytes or None)
         follow(gold.raw_to_gold(lake, source, checkpoint(s, "merge"), "merge", reconciler, None if a.available_now else s.streaming.every), reconciler)
         out = {"outcome": reconciler.reconcile(final=True) if a.available_now else "ended", **reconciler.last}
     print(json.dumps(out, default=str))

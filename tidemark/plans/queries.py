@@ -458,3 +458,25 @@ def change_feed_range(spark: SparkSession, d: str) -> DataFrame:
     name: Column = F.when(F.col("n_nationkey") % 5 == 0, "X").otherwise(F.col("n_name"))
     version = table.merge(n.withColumn("n_name", name), ["n_nationkey"])
     return table.changes(version or 0, version or 0).select("n_nationkey", "n_name", F.col("_change_type").alias("change"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE (o_orderkey % 2 = 0 OR o_orderkey % 3 = 0) AND o_orderkey % 5 <> 0""")
+def bucketed_table_merge(spark: SparkSession, d: str) -> DataFrame:
+    """A merge into a table of 16 buckets, which rewrites those that it touches."""
+    o = read(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    table = Table(spark, scratch(spark, "orders"), 16)
+    table.overwrite(o.where("o_orderkey % 2 = 0"), keys=("o_orderkey",))
+    source = o.where("o_orderkey % 3 = 0 and o_orderkey % 5 <> 0").withColumn("o_orderstatus", F.lit("X"))
+    table.merge(source, ["o_orderkey"], delete_keys=o.where("o_orderkey % 5 = 0"))
+    return table.read()
+
+
+@query("SELECT o_orderkey AS order_id FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+def incomplete_orders_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Orders whose lines don't add up to their header (every seventh is made to miss by one) or that have none."""
+    money = "decimal(18,2)"
+    lines = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_id"), F.lit(1).alias("quantity"), F.col("l_extendedprice").cast(money).alias("unit_price"), F.col("l_tax").cast(money).alias("tax_amount"))
+    sums = lines.groupBy("order_id").agg(F.sum("unit_price").alias("subtotal_amount"), F.sum("tax_amount").alias("tax_amount"))
+    header = read(spark, d, "orders").select(F.col("o_orderkey").alias("order_id")).join(sums, "order_id", "left")
+    off = F.when(F.col("order_id") % 7 == 0, 1).otherwise(0).cast(money)
+    return quality.incomplete_orders(header.withColumn("subtotal_amount", F.coalesce("subtotal_amount", F.lit(0)) + off), lines)

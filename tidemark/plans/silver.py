@@ -78,9 +78,18 @@ def build(lake: Lake, full: bool = False) -> dict[str, Built]:
     return lake.each(lambda t: one(lake, t, full), SOURCES)
 
 
+def preflight(lake: Lake, events: dict[str, DataFrame]) -> None:
+    """All targets must fit before any is written. A target that is yet to be made fits."""
+    for name, df in events.items():
+        table, c = lake.silver(name), SOURCES[name]
+        if table.exists() and (off := set(table.read().columns) ^ set(state(df, c).columns)):
+            raise ValueError(f"{name}: columns differ from the current state's: {', '.join(sorted(off))}")
+
+
 def merge_streamed(lake: Lake, typed_events: dict[str, DataFrame], query: str, batch: int) -> dict[str, DataFrame]:
     """A micro-batch of decoded events into history and current state; returns what it held. Late events stay in the history only, replayed batches change nothing."""
     held = {t: df for t, df in typed_events.items() if not df.isEmpty()}
+    preflight(lake, held)
 
     def work(name: str) -> None:
         c, events = SOURCES[name], held[name]

@@ -45,6 +45,7 @@ class Streaming:
     fail_on_loss: bool = True
     most_offsets: int = 100_000
     most_files: int = 8
+    most_bytes: int = 0
     every: str = "15 seconds"
     checkpoints: str = ""
     checkpoint_version: str = "v1"

@@ -25,11 +25,13 @@ def kafka(spark: SparkSession, servers: str, *, topics: str | None = None, patte
     return (reader.option("maxOffsetsPerTrigger", most) if most else reader).load()
 
 
-def files(spark: SparkSession, path: str, schema: StructType, most: int | None = 8) -> DataFrame:
-    """A stream of Parquet files as they arrive, so many a micro-batch at most. The folder is made if there is none, so readers may start before writers."""
+def files(spark: SparkSession, path: str, schema: StructType, most: int | None = 8, most_bytes: int | None = None) -> DataFrame:
+    """A stream of Parquet files as they arrive, so many a micro-batch at most, or, where `most_bytes` is given, so many bytes (Spark takes one of the two). The folder is made if there is none, so readers may start before writers."""
     folder = Files(spark, path)
     folder.fs.mkdirs(folder.root)
     reader = spark.readStream.schema(schema)
+    if most_bytes:
+        return reader.option("maxBytesPerTrigger", most_bytes).parquet(path)
     return (reader.option("maxFilesPerTrigger", most) if most else reader).parquet(path)
 
 
