@@ -213,6 +213,51 @@ def test_ppm_model_is_brute_force():
     assert np.allclose(total.sum(1), 1, atol=1e-4)
 
 
+def brute_bytes(text, seen):
+    """log10 probability by walking contexts of 5 to 0 bytes one byte at a time; seen counts (context, symbol) of every order."""
+    out, data = 0.0, b"\xff" * 5 + text + b"\xff"
+    for i in range(5, len(data)):
+        gone = set()
+        for k in range(5, -1, -1):
+            fresh = {s: n for s, n in seen.get(data[i - k : i], {}).items() if s not in gone}
+            if not fresh:
+                continue
+            whole = sum(fresh.values()) + (0 if len(fresh) + len(gone) == 256 else len(fresh))
+            if data[i] in fresh:
+                out += math.log10(fresh[data[i]] / whole)
+                break
+            out += math.log10(len(fresh) / whole)
+            gone |= fresh.keys()
+        else:
+            out -= math.log10(256 - len(gone))
+    return out
+
+
+def learnt(texts):
+    seen = {}
+    for t in texts:
+        data = b"\xff" * 5 + t + b"\xff"
+        for i in range(5, len(data)):
+            for k in range(6):
+                seen.setdefault(data[i - k : i], Counter())[data[i]] += 1
+    return seen
+
+
+def test_ppm_keeps_every_count(spark, monkeypatch):
+    """Every path counts, those seen once too, in many chunks and buckets as in one."""
+    r = random.Random(6)
+    texts = [*[t for t in ODD if t is None or len(t) < 2000], *["".join(r.choice(["the ", "on ", "ing ", "Été ", "4.2 ", "#x\n", chr(r.randrange(32, 3000))]) for _ in range(40)) for _ in range(60)]]
+    df = docs(spark, texts).repartition(3)
+    rows = [(r.doc_id, (r.text or "").encode()) for r in df.collect()]
+    seen = learnt([t for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2])
+    want = sorted((str(i), brute_bytes(t, seen)) for i, t in rows)
+    for chunk, bucket in ((ppm.CHUNK, ppm.BUCKET), (500, 100)):
+        monkeypatch.setattr(ppm, "CHUNK", chunk)
+        monkeypatch.setattr(ppm, "BUCKET", bucket)
+        got = sorted((str(r.doc_id), r.score) for r in ppm.score(df).collect())
+        assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], atol=1e-8)
+
+
 def test_ppm_adaptive_learns():
     r = random.Random(1)
     assert ppm.adaptive(b"abcabcabcabcabcabc" * 5) > ppm.adaptive(bytes(r.randrange(97, 123) for _ in range(90)))

@@ -1,18 +1,21 @@
 """Language-model scoring: prediction by partial matching over bytes, and a smoothed word base.
 
-The model is a byte-context trie. Its symbols are 64 byte classes (letters of
-either case together, frequent signs one by one, rarer bytes grouped by rule)
-and the end of the text; a grouped byte is then coded inside its class given
-the class before it and whether that was a capital. Contexts are LONG classes
-long; a symbol that a context has not seen is reached by an escape to
-contexts of ORDER classes and then one less at a time, estimated from the
-context's number of distinct symbols (method C); symbols that the longer
-contexts have seen are excluded from the shorter ones. The trie is pretrained
-on the training documents. Its ORDER upper levels, escapes and exclusions
-resolved, are one dense table; the long contexts, as many of the most frequent
-as GRAMS allows, are two hash tables. All have a fixed size, so scoring a byte
-takes a fixed number of lookups. `adaptive` gives the code length of a text
-under a trie that learns as it goes.
+The model is a byte-context trie over the 256 bytes (0xFF, which UTF-8 has
+not, is the end of the text). Its contexts are the LONG bytes before, then one
+byte less at a time down to none; a symbol that a context has not seen is
+reached by an escape, estimated from the context's number of distinct symbols
+(method C), and what a context has seen is excluded from the shorter ones. The
+trie is pretrained on the training documents, and every count of it is kept.
+
+No worker holds the trie. A task sums up its texts in chunks: the distinct
+paths (LONG bytes and the byte after them) with their training counts, as
+packed arrays dealt to buckets by a hash of the last DEALT bytes of the
+context. A bucket thus has all counts of its contexts of DEALT bytes and more;
+those of shorter ones (256**DEALT numbers at most) travel to all buckets. It
+answers each chunk with the probabilities of the paths it asked for, and the
+chunk's texts are joined with the answers and scored. `adaptive` gives the
+code length of a text under a trie that learns as it goes. Model is a reduced
+trie over byte classes that fits a worker; `score` doesn't use it.
 
 The words' counts are gathered in the cluster, pre-aggregated in each task.
 Counts of the HOT most frequent words (a fixed number) travel to the workers;
@@ -45,8 +48,12 @@ from tidemark.llm.shingles import mix
 ORDER, LONG = 3, 5
 SYMBOLS = 64
 END = 63
-#: Symbols in long contexts that the model keeps, at most (those that occur most), and slots of their hash table.
-GRAMS, SLOTS = 1_900_000, 1 << 22
+#: Slots of Model's hash table.
+SLOTS = 1 << 22
+#: Bytes of a context that deal its paths to buckets.
+DEALT = 3
+#: Bytes of text in a chunk, and of all texts for each bucket.
+CHUNK, BUCKET = 32 << 20, 16 << 20
 #: The most frequent words whose counts are broadcast. A fixed number: about 40 MB in a worker.
 HOT = 200_000
 #: Distinct words a task counts before it passes its counts on.
@@ -215,6 +222,69 @@ class Model:
         return np.array([p[b:e].sum() for b, e in zip(begin - LONG, end + 1 - LONG, strict=True)])
 
 
+def byte_paths(data: np.ndarray) -> np.ndarray:
+    """For positions from LONG on: the LONG bytes before and the byte itself, as one number."""
+    n = len(data) - LONG
+    path = data[:n].astype(np.int64)
+    for j in range(1, LONG + 1):
+        path <<= 8
+        path |= data[j : j + n]
+    return path
+
+
+def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order with the sums of their counts."""
+    if not len(code):
+        return code, n
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    return code[first], np.add.reduceat(n, first)
+
+
+def _at(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The values of the asked keys, 0 for those that are not among the (sorted) keys."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], 0)
+
+
+def path_logs(asked: np.ndarray, paths: np.ndarray, n: np.ndarray, short: np.ndarray, short_n: np.ndarray) -> np.ndarray:
+    """log10 probabilities of the last bytes of the asked paths after the bytes before them.
+
+    paths and n are the training counts (all that share their last DEALT context
+    bytes with an asked path, sorted), short and short_n those of all paths of DEALT bytes.
+    """
+    mask = lambda k: (1 << 8 * (k + 1)) - 1
+    levels = {k: (paths, n) if k == LONG else summed(paths & mask(k), n) for k in range(LONG, DEALT - 1, -1)}
+    levels |= {k: summed(short & mask(k), short_n) for k in range(DEALT - 1, -1, -1)}
+    out, open_ = np.zeros(len(asked)), np.ones(len(asked), bool)
+    above, gone = np.zeros(len(asked), np.int64), np.zeros(len(asked), np.int64)
+    for k in range(LONG, -1, -1):
+        code, c = levels[k]
+        head = code >> 8
+        first = np.flatnonzero(np.append(True, head[1:] != head[:-1])) if len(head) else np.zeros(0, np.int64)
+        ends, own = head[first], asked & mask(k)
+        total = _at(ends, np.add.reduceat(c, first) if len(first) else c, own >> 8)
+        distinct = _at(ends, np.diff(np.append(first, len(head))), own >> 8)
+        seen = _at(code, c, own)
+        # what the longer context has seen is excluded: its symbols, and their counts here
+        fresh = distinct - above
+        whole = total - gone + np.where(distinct == 256, 0, fresh)
+        found = open_ & (seen > 0)
+        out[found] += np.log10(seen[found] / whole[found])
+        open_ &= ~found
+        passed = open_ & (whole > 0)
+        out[passed] += np.log10(fresh[passed] / whole[passed])
+        above = distinct
+        if k:
+            below = _at(*levels[k - 1], code & mask(k - 1))
+            gone = _at(ends, np.add.reduceat(below, first) if len(first) else below, own >> 8)
+    out[open_] -= np.log10(256 - above[open_])
+    return out
+
+
 def adaptive(text: bytes, order: int = ORDER) -> float:
     """log10 probability of a text under a trie over bytes that starts empty and learns each byte after coding it (escape method C, exclusion)."""
     trie: dict[bytes, Counter] = {}
@@ -245,57 +315,101 @@ def adaptive(text: bytes, order: int = ORDER) -> float:
     return out
 
 
-_PARTS = "kind int, word binary, code long, n long"
-
+_PARTS = "kind int, chunk long, bucket int, doc_id long, held_out boolean, word binary, code long, n long"
 
-def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words (kind 0), of trie paths (1) and of bytes after classes (2) in a task."""
 
-    def rows(kind: int, words: list | None, codes: np.ndarray | None, n) -> pa.RecordBatch:  # noqa: ANN001
-        size = len(n)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(size, kind, np.int32)), pa.array(words, pa.binary()) if words is not None else pa.nulls(size, pa.binary()), pa.array(codes) if codes is not None else pa.nulls(size, pa.int64()), pa.array(n, pa.int64())],
-            names=["kind", "word", "code", "n"],
-        )
+def _learner(buckets: int):  # noqa: ANN202
+    """Counts of words (kind 0), packed paths of a chunk in a bucket with their training counts (1), training counts of paths of DEALT bytes (2), and the texts with their chunk (3)."""
 
-    grams: list[tuple[np.ndarray, np.ndarray]] = []
-    pairs, words = np.zeros(SYMBOLS * 512, np.int64), Counter()
+    def rows(kind: int, size: int, **columns) -> pa.RecordBatch:  # noqa: ANN003
+        types = {"chunk": pa.int64(), "bucket": pa.int32(), "doc_id": pa.int64(), "held_out": pa.bool_(), "word": pa.binary(), "code": pa.int64(), "n": pa.int64()}
+        given = {name: pa.array(columns[name], t) if name in columns else pa.nulls(size, t) for name, t in types.items()}
+        return pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int32)), *given.values()], names=["kind", *given])
 
-    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
-        code, n = np.concatenate([c for c, _ in parts]), np.concatenate([n for _, n in parts])
-        order = np.argsort(code, kind="stable")
-        code, n = code[order], n[order]
-        first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
-        return [(code[first], np.add.reduceat(n, first))]
+    def of_words(words: Counter) -> Iterator[pa.RecordBatch]:
+        held, n = list(words), np.fromiter(words.values(), np.int64)
+        for at in range(0, len(held), 50_000):
+            yield rows(0, len(held[at : at + 50_000]), word=held[at : at + 50_000], n=n[at : at + 50_000])
 
-    for _, texts in common.text_chunks(batches, "text", 2 << 20):
-        for t in texts:
-            words.update(t.translate(LOWER).split())
-        words[END_WORD] += len(texts)
-        data, begin, end = layout(texts)
-        path, pair = contexts(data)
-        use = coded(begin, end, len(path))
-        path = np.sort(path[use])
-        edge = np.flatnonzero(np.append(True, path[1:] != path[:-1]))
-        grams.append((path[edge], np.diff(np.append(edge, len(path)))))
-        pair = pair[use & (data[LONG:] != 255)]
-        pairs += np.bincount(pair[GROUPED[pair % 256]], minlength=SYMBOLS * 512)
-        if sum(len(c) for c, _ in grams) > 2_000_000:
-            grams = merged(grams)
-            if len(grams[0][0]) > 1_500_000:
-                yield rows(1, None, *grams[0])
-                grams = []
-        if len(words) > HELD:
-            yield rows(0, list(words), None, np.fromiter(words.values(), np.int64))
-            words = Counter()
-    if words:
-        yield rows(0, list(words), None, np.fromiter(words.values(), np.int64))
-    if grams:
-        code, n = merged(grams)[0]
+    def of_chunk(chunk: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        code, n = summed(np.concatenate([c for c, _ in parts]), np.concatenate([n for _, n in parts]))
+        bucket = (mix((code >> 8 & (1 << 8 * DEALT) - 1).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for b in range(buckets):
+            if len(own := order[edges[b] : edges[b + 1]]):
+                yield rows(1, 1, chunk=[chunk], bucket=[b], word=[_packed(code[own], n[own])])
+        code, n = summed(code[n > 0] & (1 << 8 * DEALT) - 1, n[n > 0])
         for at in range(0, len(code), 200_000):
-            yield rows(1, None, code[at : at + 200_000], n[at : at + 200_000])
-    code = np.flatnonzero(pairs)
-    yield rows(2, None, code, pairs[code])
+            yield rows(2, len(code[at : at + 200_000]), code=code[at : at + 200_000], n=n[at : at + 200_000])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, size = TaskContext.get().partitionId() << 24, 0
+        grams: list[tuple[np.ndarray, np.ndarray]] = []
+        words: Counter = Counter()
+        for part, texts in common.text_chunks(batches, "text", 2 << 20):
+            held = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            for t, h in zip(texts, held, strict=True):
+                if not h:
+                    words.update(t.translate(LOWER).split())
+                    words[END_WORD] += 1
+            data, begin, end = layout(texts)
+            use = coded(begin, end, len(data) - LONG)
+            path = byte_paths(data)[use]
+            learnt = np.repeat(~held, end + 1 - begin)
+            grams.append(summed(path, learnt.astype(np.int64)))
+            yield rows(3, len(texts), chunk=np.full(len(texts), chunk), doc_id=part.column(0), held_out=part.column(2), word=texts)
+            size += len(data)
+            if sum(len(c) for c, _ in grams) > 2_000_000:
+                grams = [summed(np.concatenate([c for c, _ in grams]), np.concatenate([n for _, n in grams]))]
+            if size > CHUNK:
+                yield from of_chunk(chunk, grams)
+                chunk, size, grams = chunk + 1, 0, []
+            if len(words) > HELD:
+                yield from of_words(words)
+                words = Counter()
+        if grams:
+            yield from of_chunk(chunk, grams)
+        if words:
+            yield from of_words(words)
+
+    return run
+
+
+def _answerer(shared):  # noqa: ANN001, ANN202
+    """For every chunk in a bucket its packed paths with their log10 probabilities."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        short, short_n = _unpacked(shared.value)
+        for _, table in common.sorted_groups(batches, "bucket"):
+            asked, parts, size = table.column("word"), [], 0
+            for a in asked:
+                code, n = _unpacked(a.as_py())
+                parts.append((code, n))
+                size += len(code)
+                if size > 4_000_000 and len(parts) > 1:
+                    parts = [summed(np.concatenate([c for c, _ in parts]), np.concatenate([n for _, n in parts]))]
+                    size = 0
+            code, n = summed(np.concatenate([c for c, _ in parts]), np.concatenate([n for _, n in parts]))
+            del parts
+            p = path_logs(code, code[n > 0], n[n > 0], short, short_n)
+            for chunk, a in zip(table.column("chunk"), asked, strict=True):
+                own, _ = _unpacked(a.as_py())
+                logs = p[np.searchsorted(code, own)]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int64()), pa.array([_packed(own)], pa.binary()), pa.array([zlib.compress(logs.tobytes(), 1)], pa.binary())], names=["chunk", "text", "logs"])
+
+    return run
+
+
+def log_probability(texts: list[bytes], code: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """log10 probability of each text with its end, from those of its paths."""
+    data, begin, end = layout(texts)
+    path, back = np.unique(byte_paths(data)[coded(begin, end, len(data) - LONG)], return_inverse=True)
+    at = np.searchsorted(code, path)
+    if not np.array_equal(code[np.minimum(at, len(code) - 1)], path):
+        raise RuntimeError("a path of a chunk has no answer")
+    sizes = end + 1 - begin
+    return np.add.reduceat(logs[at][back], np.cumsum(sizes) - sizes)
 
 
 def _gathered(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -326,30 +440,38 @@ def _unpacked(data: bytes) -> list[np.ndarray]:
     return [np.cumsum(a) if rising else a for rising, raw in pickle.loads(data) for a in [np.frombuffer(zlib.decompress(raw), np.int64)]]
 
 
-_model: tuple[str, Model, dict[bytes, float]] | None = None
+_logs: tuple[str, dict[bytes, float]] | None = None
 
 
-def _built(tag: str, packed: bytes, words: list[bytes], counts: list[int]) -> tuple[Model, dict[bytes, float]]:
-    """The model and the words' logarithms, built once in a worker from the counts."""
-    global _model
-    if _model is None or _model[0] != tag:
-        _model = None
-        path, n, gram, gram_n, pair, pair_n = _unpacked(packed)
-        model = Model(dense(path, n, SYMBOLS ** (ORDER + 1)), gram, gram_n, dense(pair, pair_n, SYMBOLS * 512))
-        _model = tag, model, {w: float(np.log10(c + 1)) for w, c in zip(words, counts, strict=True)}
-    return _model[1:]
+def _word_logs(tag: str, words: list[bytes], counts: list[int]) -> dict[bytes, float]:
+    """The words' logarithms, built once in a worker from the counts."""
+    global _logs
+    if _logs is None or _logs[0] != tag:
+        _logs = tag, {w: float(np.log10(c + 1)) for w, c in zip(words, counts, strict=True)}
+    return _logs[1]
 
 
-def _frequent(grams: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The grams that occur at least so often that there are `most` at most."""
-    by_count = grams.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().orderBy(F.col("n").desc()).collect()  # 10,000 rows at most
-    least, held = 10_001, 0
-    for r in by_count:
-        held += r["count"]
-        if held > most or r.n < 2:
-            break
-        least = r.n
-    return _gathered(grams.where(F.col("n") >= least))
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], np.ndarray, np.ndarray]]:
+    """Slices of the texts with the paths and logarithms of their chunk, whose answers come before its texts."""
+    current, held, code, logs = None, [], None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        chunks, is_text = batch.column(3).to_numpy(), batch.column(1).to_numpy()
+        edges = np.flatnonzero(np.append(True, (chunks[1:] != chunks[:-1]) | (is_text[1:] != is_text[:-1])))
+        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(chunks)], strict=True):
+            part = batch.slice(a, b - a)
+            if chunks[a] != current:
+                current, held, code = chunks[a], [], None
+            if not is_text[a]:
+                held += [(_unpacked(g)[0], np.frombuffer(zlib.decompress(p), np.float64)) for g, p in zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)]
+                continue
+            if code is None:
+                code, logs = np.concatenate([c for c, _ in held]), np.concatenate([p for _, p in held])
+                order = np.argsort(code)
+                code, logs, held = code[order], logs[order], []
+            for rows, texts in common.text_chunks([part], "text", 1 << 20):
+                yield rows, texts, code, logs
 
 
 def train_is(column):  # noqa: ANN001, ANN201
@@ -361,7 +483,9 @@ def score(docs: DataFrame, hot: int = HOT) -> DataFrame:
     spark = docs.sparkSession
     common.tune(spark)
     docs = docs.select("doc_id", "text", (~train_is(F.col("doc_id"))).alias("held_out"))
-    parts = common.settle(docs.where("not held_out").select("text").mapInArrow(_learn, _PARTS), "counts", ("kind",))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(16, -(-size // BUCKET))
+    parts = common.settle(docs.mapInArrow(_learner(buckets), _PARTS), "counts", ("kind",))
     counts = common.settle(parts.where("kind = 0").groupBy("word").agg(F.sum("n").alias("c")), "words")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     log_all = float(np.log10(total + 1 * (distinct + 1)))
@@ -370,19 +494,23 @@ def score(docs: DataFrame, hot: int = HOT) -> DataFrame:
     ends = counts.where(F.col("word") == F.lit(END_WORD)).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     known_end = float(np.log10(ends + 1)), int(ends > 0)
     del top
-    grams = common.settle(parts.where("kind = 1").groupBy("code").agg(F.sum("n").alias("n")), "grams")
-    short = _gathered(grams.select((F.col("code") % SYMBOLS ** (ORDER + 1)).alias("code"), "n"))
-    packed = _packed(*short, *_frequent(grams, GRAMS), *_gathered(parts.where("kind = 2").select("code", "n")))
+    # fixed numbers at most travel: 256**DEALT counts of short paths, `hot` words
+    short = spark.sparkContext.broadcast(_packed(*_gathered(parts.where("kind = 2").select("code", "n"))))
     tag = uuid.uuid4().hex
-    # counts of fixed numbers at most: SYMBOLS**(ORDER+1) paths, GRAMS symbols in long contexts, `hot` words; workers build the tables from them
-    shared = spark.sparkContext.broadcast((packed, words, times))
-    del short, packed, words, times
+    shared = spark.sparkContext.broadcast((words, times))
+    del words, times
+    asked = parts.where("kind = 1").select("bucket", "chunk", "word").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    answers = asked.mapInArrow(_answerer(short), "chunk long, text binary, logs binary")
+    texts = parts.where("kind = 3").select("chunk", "doc_id", "held_out", F.col("word").alias("text"))
+    both = texts.withColumn("is_text", F.lit(1)).withColumn("logs", F.lit(None).cast("binary")).unionByName(answers.withColumn("is_text", F.lit(0)), allowMissingColumns=True)
+    chunks = max(1, texts.select("chunk").distinct().count())
+    both = both.select("doc_id", "is_text", "held_out", "chunk", "text", "logs").repartition(4 * chunks, "chunk").sortWithinPartitions("chunk", "is_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, logs = _built(tag, *shared.value)
+        logs = _word_logs(tag, *shared.value)
         row = TaskContext.get().partitionId() << 40
         names = ["kind", "row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "word", "tf"]
-        for part, texts in common.text_chunks(batches, "text", 1 << 20):
+        for part, texts, code, p in _joined(batches):
             n_tokens, n_known, base, rare = [], [], [], []
             for i, t in enumerate(texts):
                 words = t.translate(LOWER).split()
@@ -397,7 +525,7 @@ def score(docs: DataFrame, hot: int = HOT) -> DataFrame:
                     base.append(sum(got) + known_end[0])
             n = len(texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(n, np.int32)), pa.array(np.arange(row, row + n)), part.column(0), part.column(2), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(model.log_probability(texts)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())],
+                [pa.array(np.zeros(n, np.int32)), pa.array(np.arange(row, row + n)), part.column(0), part.column(2), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(log_probability(texts, code, p)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())],
                 names=names,
             )
             if rare:
@@ -410,7 +538,7 @@ def score(docs: DataFrame, hot: int = HOT) -> DataFrame:
             row += n
 
     schema = "kind int, row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, tf long"
-    scored = common.settle(docs.mapInArrow(run, schema), "scored", ("kind",))
+    scored = common.settle(both.mapInArrow(run, schema), "scored", ("kind",))
     rare = scored.where("kind = 1").select("row", "word", "tf").join(counts, "word")
     rare = rare.groupBy("row").agg(F.sum("tf").alias("_known"), F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("_base"))
     rows = scored.where("kind = 0").drop("word", "tf", "kind")
