@@ -63,6 +63,31 @@ def test_search_recall(spark, block):
     assert ann.search(t.where("vec_id < 3"), t.where("vec_id = 0")).count() == 2
 
 
+def test_search_past_a_cluster():
+    """A third of the vectors lie in one tight cluster, a query's five neighbours are a little nearer than that."""
+    r = np.random.default_rng(5)
+    norm = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    v, centre = norm(r.standard_normal((8000, 64))), norm(r.standard_normal(64))
+    v[:2700] = norm(centre + 0.01 * r.standard_normal((2700, 64)))
+    queries = []
+    for i in range(20):
+        near = r.uniform(0.3, 0.6)
+        across = norm((x := r.standard_normal(64)) - (x @ centre) * centre)
+        q = near * centre + np.sqrt(1 - near**2) * across
+        for j in range(5):
+            c = near + r.uniform(0.05, 0.1)
+            side = norm((x := r.standard_normal(64)) - (x @ q) * q)
+            v[3000 + 5 * i + j] = c * q + np.sqrt(1 - c**2) * side
+        queries.append(q)
+    index, hits = ann.Index(np.arange(8000), v), 0
+    for q in queries:
+        best = np.argsort(-(v @ q))[:5].tolist()
+        hits += len({i for i, _ in index.search(-1, q, 5)} & set(best))
+    assert hits / 100 >= 0.98
+    few = ann.Index(np.arange(9), v[:9], m=8)  # fewer directions than collisions asked for
+    assert len(few.search(0, v[0], 20)) == 8
+
+
 def brute_targets(sizes, weights, total, cap):
     """Resharing round by round, as worded."""
     order = sorted(sizes, key=lambda s: (s is None, s or ""))

@@ -5,9 +5,10 @@ vectors sorted by their projection. A query's own projection is the centre of
 a window in each sorted array; virtual rehashing doubles the windows round by
 round without rebuilding anything. A vector that falls into the windows of at
 least `threshold` directions has collided often enough and is verified by its
-exact cosine. A query stops when enough vectors are verified and its k-th
-best angle lies well inside the current radius, or when the windows cover
-everything (then the answer is exact).
+exact cosine. A query stops when k vectors are verified and the distance of
+its k-th best, MARGIN times, lies inside the current radius (a nearer vector
+would then have collided often enough, but for about one in ten thousand), or when the windows
+cover everything: then all the rest is verified and the answer is exact.
 
 Vectors are dealt to blocks by a hash of their id, of a size that fits a task;
 the query set visits every block and a top-k for each query merges the blocks.
@@ -37,8 +38,8 @@ DIRECTIONS = 64
 THRESHOLD = 38
 #: Half-width of the first windows, on projections of unit vectors scaled by sqrt(dimension).
 WIDTH = 0.5
-#: Verified vectors in a block before a query may stop, as a share of the block and at least.
-SHARE, LEAST = 0.15, 200
+#: A query stops at a radius of so many times the distance of its k-th best: with 64 directions, a vector at that distance has 50 collisions, give or take 3.3.
+MARGIN = 1.25
 #: Vectors of a block.
 BLOCK = 16_384
 
@@ -48,9 +49,9 @@ def directions(dim: int, m: int, seed: int) -> np.ndarray:
     return a / np.linalg.norm(a, axis=1, keepdims=True) * np.sqrt(dim)
 
 
-def cosine(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Cosines of the rows of x with q in double precision; equal rows give equal values."""
-    return np.einsum("ij,j->i", x, q) / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("i,i->", q, q)))
+def cosine(x: np.ndarray, norms: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Cosines of the rows of x, which have these norms, with q in double precision; equal rows give equal values."""
+    return np.einsum("ij,j->i", x, q) / (norms * np.sqrt(np.einsum("i,i->", q, q)))
 
 
 class Index:
@@ -61,39 +62,46 @@ class Index:
         self.unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         self.a = directions(vectors.shape[1], m, seed)
         projected = self.unit @ self.a.T
+        self.projected = projected.T.copy()
+        self.norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
         self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32).copy()
         self.sorted = np.sort(projected, axis=0).T.copy()
 
-    def search(self, own: int, q: np.ndarray, k: int, threshold: int = THRESHOLD, width: float = WIDTH, share: float = SHARE, least: int = LEAST) -> list[tuple[int, float]]:
+    def search(self, own: int, q: np.ndarray, k: int, threshold: int = THRESHOLD, width: float = WIDTH, margin: float = MARGIN) -> list[tuple[int, float]]:
         n, m = len(self.ids), len(self.a)
         centre = self.a @ (q / np.linalg.norm(q))
-        counts = np.zeros(n, np.int32)
+        counts = np.zeros(n, np.int16 if m < 1 << 15 else np.int32)
         low = np.array([np.searchsorted(self.sorted[j], centre[j]) for j in range(m)])
         high = low.copy()
         verified = np.zeros(n, bool)
         verified[self.ids == own] = True  # the query's own rows are no candidates
         found_at: list[np.ndarray] = []
         found_by: list[np.ndarray] = []
-        need, done = max(least, int(share * n)), 0
+        top = np.zeros(0)  # the k best scores so far
         radius = width
         while True:
-            for j in range(m):
-                lo = np.searchsorted(self.sorted[j], centre[j] - radius, side="left")
-                hi = np.searchsorted(self.sorted[j], centre[j] + radius, side="right")
-                lo, hi = min(lo, low[j]), max(hi, high[j])
-                counts[self.order[j, lo : low[j]]] += 1
-                counts[self.order[j, high[j] : hi]] += 1
-                low[j], high[j] = lo, hi
-            fresh = np.flatnonzero((counts >= threshold) & ~verified)
+            left, right = centre - radius, np.nextafter(centre + radius, np.inf)
+            ends = np.array([self.sorted[j].searchsorted((left[j], right[j])) for j in range(m)])
+            if (ends[:, 1] - ends[:, 0] - (high - low)).sum() > n * m // 6:  # much is new: count anew, in the order of the vectors
+                counts[:] = 0
+                for p, a, b in zip(self.projected, left, right, strict=True):
+                    counts += (p >= a) & (p < b)
+            else:
+                for j, (lo, hi) in enumerate(ends.tolist()):
+                    counts[self.order[j, lo : low[j]]] += 1
+                    counts[self.order[j, high[j] : hi]] += 1
+            low, high = ends[:, 0], ends[:, 1]
+            whole = bool((low == 0).all() and (high == n).all())
+            fresh = np.flatnonzero(~verified if whole else (counts >= threshold) & ~verified)
             if len(fresh):
                 verified[fresh] = True
                 found_at.append(fresh)
-                found_by.append(cosine(self.vectors[fresh], q))
-                done += len(fresh)
-            whole = bool((low == 0).all() and (high == n).all())
-            if whole or done >= need:
+                found_by.append(cosine(self.vectors[fresh], self.norms[fresh], q))
+                top = np.sort(np.concatenate([top, found_by[-1]]))[-k:]
+            enough = margin * np.sqrt(max(0.0, 2 - 2 * top[0])) if len(top) >= k else np.inf
+            if whole or enough <= radius:
                 break
-            radius *= 1.25 if done else 1.5
+            radius = enough if enough < np.inf else radius * 1.5
         if not found_at:
             return []
         at, by = np.concatenate(found_at), np.concatenate(found_by)
