@@ -304,6 +304,24 @@ def test_pieces_round_trip(spark):
     assert pieces.digest(pieces.round_trip(docs(spark).limit(0))).count() == 0
 
 
+def test_pieces_split_every_occurrence_anew():
+    """A frequent word takes many forms in a document, as often as its own draws say; what is remembered changes nothing."""
+    proto = pieces.model_bytes(pieces.default_model())
+    c = pieces.Codec(proto, 0.1, 5)
+    word, n = "understanding", 20_000
+    part = pieces.SPACE + word
+    forms = Counter(tuple(c.encode(word, k).tolist()) for k in range(n))
+    draws = random.Random(1)
+    want = Counter(tuple(np.frombuffer(c._pack(c._short(list(part), draws.getrandbits(64))), np.uint16).tolist()) for _ in range(n))
+    assert len(forms) > 10 and all(abs(forms[f] - m) < 6 * math.sqrt(m + 1) + 6 for f, m in want.items() if m > 50)
+    # in one document, against the agenda without a memory
+    text = " ".join([word, "internationally", "of"] * 400)
+    draws, _ = c._drawn(1200, 9)
+    plain = [c._pack(c._short(list(pieces.SPACE + w), int(d))) for w, d in zip(text.split(" "), draws, strict=True)]
+    assert c.encode(text, 9).tobytes() == b"".join(plain) == pieces.Codec(proto, 0.1, 5).encode(text, 9).tobytes()
+    assert len(set(plain[::3])) > 5
+
+
 def test_lasso_rules_and_columns(spark):
     r = np.random.default_rng(1)
     x = r.random((600, len(quality.STATS)))

@@ -3,33 +3,35 @@
 A text is cut before its spaces (no piece of the vocabulary holds a space
 after another character, which is checked), and each part is merged by an
 agenda of candidate merges in order of their score. A candidate that comes to
-the top is skipped for good when a keyed hash of (seed, variant, part, how many
-came to the top before it) falls below the dropout; the variant is dealt by a hash of the document's id.
-So reruns agree, and a part gets different segmentations under different
-seeds and variants. With a dropout of 0 the result is the library's own.
+the top is skipped for good with the probability of the dropout. The draws
+are keyed by seed, document and the part's place in it, so reruns agree, and
+every occurrence of a word is split anew. With a dropout of 0 the result is the library's own.
 Characters outside the vocabulary become their UTF-8 bytes, and so does the
 literal U+2581, which otherwise stands for a space; so decoding always gives
 the text back.
 
 The vocabulary (its size is the tokenizer's) travels with the function. A
-worker remembers parts in two generations of REMEMBERED each for a variant:
-when the young one is full it becomes the old one, and parts seen again move
-to the young one, so frequent parts stay. No shuffle.
+worker remembers parts in two generations of REMEMBERED each: when the young
+one is full it becomes the old one, and parts seen again move to the young
+one, so frequent parts stay. What is remembered is the result of a part and of
+the skips drawn for it (how many candidates came to the top before each), which
+together determine it; the draw itself is made for each occurrence. No shuffle.
 
 Cases: a null text has null ids and decodes to null; the empty text has no ids
 and decodes to ''. Very long texts and parts without spaces are encoded whole.
-Repeated rows with equal ids have equal results. Null ids of documents take
-variant 0. Other columns pass through; input columns named like a result
+Repeated rows with equal ids have equal results. Null ids of documents are
+keyed by the text. Other columns pass through; input columns named like a result
 column are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
-import zlib
+import math
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +39,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
+from tidemark.llm.shingles import mix
 
-DROPOUT, SEED, VARIANTS = 0.1, 23, 2
-REMEMBERED = 160_000
+DROPOUT, SEED = 0.1, 23
+#: Keys that the tests encode under.
+VARIANTS = 2
+REMEMBERED = 320_000
 #: Parts of so many characters at most take the scanned agenda.
 SHORT = 48
-NONE = float("-inf")
-SPACE = "▁"
+NONE, NEVER = float("-inf"), 1 << 60
+#: What stands for a space, and a part (no other holds a space) for that character itself.
+SPACE, LITERAL = "▁", " "
 
 
 def default_model() -> str:
@@ -87,57 +93,71 @@ class Codec:
                 self.pieces.append(piece.replace(SPACE, " ").encode())
         if min(self.bytes) < 0:
             raise ValueError("the vocabulary has no byte pieces")
-        self.below, self.seed = int(dropout * (1 << 32)), seed
-        self.seen: list[tuple[dict[str, bytes], dict[str, bytes]]] = [({}, {}) for _ in range(VARIANTS)]
+        self.seed = seed & 0xFFFFFFFF
+        #: The logarithm of a candidate's staying; skips are geometric gaps apart.
+        self.stay = math.log1p(-dropout) if 0 < dropout < 1 else -math.inf if dropout else 0.0
+        self.young: dict = {}
+        self.old: dict = {}
 
     def _bytes_of(self, text: str) -> list[int]:
         return [self.bytes[b] for b in text.encode("utf-8", "replace")]
 
-    def part(self, part: str, variant: int) -> bytes:
-        """The ids of a part (its leading spaces as U+2581), two bytes each."""
-        if len(part) == 1:
-            return self._pack([part])
-        draw = zlib.crc32(part.encode("utf-8", "replace"), self.seed * 8191 + variant)
-        return self._pack(self._short(list(part), draw) if len(part) <= SHORT else self._long(list(part), draw))
+    def _gap(self, draw: int) -> int:
+        """How many candidates come to the top before the next one that is skipped."""
+        return int(math.log(((draw >> 11) + 0.5) * 2.0**-53) / self.stay) if self.stay else NEVER
+
+    def _gaps(self, draw: int) -> Iterator[int]:
+        while True:
+            yield self._gap(draw)
+            draw = (draw * 6364136223846793005 + 1442695040888963407) & 0xFFFFFFFFFFFFFFFF
 
     def _short(self, symbols: list[str], draw: int) -> list[str]:
-        """The agenda of a few candidates: a list of their scores, scanned for the best (the leftmost, if equal). Every candidate at the top advances the keyed draw."""
-        scores, below = self.scores.get, self.below
+        """The agenda of a few candidates: a list of their scores, scanned for the best (the leftmost, if equal)."""
+        return self._scanned(symbols, self._gaps(draw))[0]
+
+    def _scanned(self, symbols: list[str], gaps: Iterator[int]) -> tuple[list[str], int]:
+        """The symbols merged with skips so far apart, and how many candidates came to the top after the last skip."""
+        scores = self.scores.get
         ranks = [scores(a + b, NONE) for a, b in zip(symbols, symbols[1:], strict=False)]
+        gap, passed = next(gaps, NEVER), 0
         while ranks:
             best = max(ranks)
             if best == NONE:
                 break
             i = ranks.index(best)
-            if below:
-                draw = (draw * 1664525 + 1013904223) & 0xFFFFFFFF
-                if draw < below:
-                    ranks[i] = NONE
-                    continue
+            if passed == gap:
+                gap, passed = next(gaps, NEVER), 0
+                ranks[i] = NONE
+                continue
+            passed += 1
             symbols[i] = merged = symbols[i] + symbols.pop(i + 1)
             del ranks[i]
             if i < len(ranks):
                 ranks[i] = scores(merged + symbols[i + 1], NONE)
             if i:
                 ranks[i - 1] = scores(symbols[i - 1] + merged, NONE)
-        return symbols
+        return symbols, passed
 
     def _long(self, symbols: list[str], draw: int) -> list[str]:
         """The same with a heap and linked symbols, for parts without a bound."""
+        return self._heaped(symbols, self._gaps(draw))[0]
+
+    def _heaped(self, symbols: list[str], gaps: Iterator[int]) -> tuple[list[str], int]:
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        scores, below = self.scores, self.below
+        scores = self.scores
         agenda = [(-s, i, 2) for i in range(n - 1) if (s := scores.get(symbols[i] + symbols[i + 1])) is not None]
         heapq.heapify(agenda)
+        gap, passed = next(gaps, NEVER), 0
         while agenda:
             _, i, size = heapq.heappop(agenda)
             left, j = symbols[i], after[i]
             if not left or j >= n or len(left) + len(symbols[j]) != size:
                 continue
-            if below:
-                draw = (draw * 1664525 + 1013904223) & 0xFFFFFFFF
-                if draw < below:
-                    continue
+            if passed == gap:
+                gap, passed = next(gaps, NEVER), 0
+                continue
+            passed += 1
             symbols[i] = merged = left + symbols[j]
             symbols[j] = ""
             k = after[i] = after[j]
@@ -147,7 +167,31 @@ class Codec:
                     heapq.heappush(agenda, (-s, i, len(merged) + len(symbols[k])))
             if (b := before[i]) >= 0 and (s := scores.get(symbols[b] + merged)) is not None:
                 heapq.heappush(agenda, (-s, b, len(symbols[b]) + len(merged)))
-        return [s for s in symbols if s]
+        return [s for s in symbols if s], passed
+
+    def _merged(self, part: str, gaps: Iterator[int]) -> tuple[int, bytes]:
+        """How many candidates came to the top after the last skip, and the ids of a part (its leading spaces as U+2581), two bytes each."""
+        if part == LITERAL:
+            return 0, array("H", self._bytes_of(SPACE)).tobytes()
+        symbols, passed = self._scanned(list(part), gaps) if len(part) <= SHORT else self._heaped(list(part), gaps)
+        return passed, self._pack(symbols)
+
+    def _known(self, at, part: str, gaps: tuple[int, ...]) -> tuple[int, bytes]:  # noqa: ANN001
+        """The remembered result of a part and its skips, made if there is none; `at` is what it is remembered by."""
+        if (got := self.young.get(at)) is None:
+            got = self.young[at] = self.old.get(at) or self._merged(part, iter(gaps))
+        return got
+
+    def _skipped(self, at, part: str, draw: int, gap: int, left: int) -> bytes:  # noqa: ANN001
+        """The ids of a part of which a candidate is skipped: as many skips as the draw gives before the candidates end."""
+        gaps: tuple[int, ...] = ()
+        while gap < left:
+            gaps += (gap,)
+            at = (at, gap)
+            left, got = self._known(at, part, gaps)
+            draw = (draw * 6364136223846793005 + 1442695040888963407) & 0xFFFFFFFFFFFFFFFF
+            gap = self._gap(draw)
+        return got
 
     def _pack(self, symbols: list[str]) -> bytes:
         ids = list(map(self.ids.get, symbols))
@@ -155,58 +199,70 @@ class Codec:
             ids = [b for s, i in zip(symbols, ids, strict=True) for b in ([i] if i is not None else self._bytes_of(s))]
         return array("H", ids).tobytes()
 
-    def encode(self, text: str, variant: int = 0) -> np.ndarray:
-        """The ids of a text."""
+    def encode(self, text: str, key: int = 0) -> np.ndarray:
+        """The ids of a text; the key is the document's."""
         if not text:
             return np.zeros(0, np.uint16)
-        young, old = self.seen[variant]
-        if len(young) > REMEMBERED:
-            young, old = self.seen[variant] = {}, young
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        young, lead = self.young, SPACE
         if SPACE in text:
-            return np.frombuffer(b"".join(self._literal(text, variant)), np.uint16)
-        words = text.split(" ")
-        out = []
-        if "" in words:  # runs of spaces belong to the part that follows
-            run, parts = "", []
-            for w in words:
-                run += SPACE
-                if w:
-                    parts.append(run + w)
-                    run = ""
-            words = [*parts, run] if run else parts
-            for w in words:
-                if (got := young.get(w)) is None:
-                    got = old.get(w) or self.part(w, variant)
-                    if len(w) <= 64:
-                        young[w] = got
-                out.append(got)
+            words, lead = self._literal(text), ""
         else:
-            for w in words:
-                if (got := young.get(w)) is None:
-                    got = old.get(w) or self.part(SPACE + w, variant)
-                    if len(w) <= 64:
-                        young[w] = got
-                out.append(got)
+            words = text.split(" ")
+            if "" in words:  # runs of spaces belong to the part that follows
+                words, lead = self._spaced(words), ""
+        draws, gaps = self._drawn(len(words), key)
+        out = []
+        for n, (w, gap) in enumerate(zip(words, gaps, strict=True)):
+            # a part without its space is another one: it is remembered by itself, led by a sign that no part holds
+            at = w if lead else " " + w
+            if (got := young.get(at)) is None:
+                if len(w) > 64:
+                    out.append(self._merged(lead + w, self._gaps(int(draws[n])))[1])
+                    continue
+                got = self._known(at, lead + w, ())
+            left, ids = got
+            out.append(ids if gap >= left else self._skipped(at, lead + w, int(draws[n]), gap, left))
         return np.frombuffer(b"".join(out), np.uint16)
 
-    def _literal(self, text: str, variant: int) -> Iterator[bytes]:
-        """A text with the literal character that stands for spaces: cut there, the character as its bytes."""
-        own = np.array(self._bytes_of(SPACE), np.uint16).tobytes()
+    def _drawn(self, n: int, key: int) -> tuple[np.ndarray, list[int]]:
+        """The draws of a document's parts, and how many candidates come to the top before the first that is skipped."""
+        start = mix(np.array([key ^ self.seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF], np.uint64))
+        draws = mix(start + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        if not self.stay:
+            return draws, [NEVER] * n
+        u = ((draws >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+        return draws, (np.log(u) / self.stay).astype(np.int64).tolist()
+
+    def _spaced(self, words: list[str]) -> list[str]:
+        """The parts of a text cut at its spaces: each with the spaces before it."""
+        run, parts = "", []
+        for w in words:
+            run += SPACE
+            if w:
+                parts.append(run + w)
+                run = ""
+        return [*parts, run] if run else parts
+
+    def _literal(self, text: str) -> list[str]:
+        """The parts of a text with the literal character that stands for spaces: cut there, the character as a part of its own (LITERAL)."""
+        parts = []
         for n, piece in enumerate(text.split(SPACE)):
             if n:
-                yield own
+                parts.append(LITERAL)
             if not piece and n:
                 continue
             # the space that every text is led by stands before the first piece only
-            lead, rest = (SPACE, piece) if not n else ("", piece)
             run = ""
-            for m, w in enumerate(rest.split(" ")):
-                run += SPACE if m else lead
+            for m, w in enumerate(piece.split(" ")):
+                run += SPACE if m or not n else ""
                 if w:
-                    yield self.part(run + w, variant)
+                    parts.append(run + w)
                     run = ""
             if run:
-                yield self.part(run, variant)
+                parts.append(run)
+        return parts
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: the inverse of encode under any seed and dropout."""
@@ -219,8 +275,9 @@ def _codec(proto: bytes, dropout: float, seed: int) -> Codec:
     return Codec(proto, dropout, seed)
 
 
-def variants_of(keys: list) -> list[int]:
-    return [0 if k is None else zlib.crc32(str(k).encode()) % VARIANTS for k in keys]
+def keys_of(keys: list, texts: list[bytes]) -> list[int]:
+    """A number of 64 bits for each document."""
+    return [int.from_bytes(blake2b(t if k is None else str(k).encode(), digest_size=8).digest()) for k, t in zip(keys, texts, strict=True)]
 
 
 def _encoded(df: DataFrame, key: str, text: str, model: str | None, dropout: float, seed: int, into: str | None) -> DataFrame:
@@ -233,7 +290,7 @@ def _encoded(df: DataFrame, key: str, text: str, model: str | None, dropout: flo
         codec = _codec(proto, dropout, seed)
         for part, texts in common.text_chunks(batches, text, 2 << 20):
             null = part.column(names.index(text)).is_null().to_numpy(zero_copy_only=False)
-            got = [codec.encode(t.decode("utf-8", "replace"), v) for t, v in zip(texts, variants_of(part.column(names.index(key)).to_pylist()), strict=True)]
+            got = [codec.encode(t.decode("utf-8", "replace"), v) for t, v in zip(texts, keys_of(part.column(names.index(key)).to_pylist(), texts), strict=True)]
             ends = np.cumsum([0, *map(len, got)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(null, False)), pa.array(np.concatenate(got).astype(np.int32)))
             more = [pa.array([None if n else codec.decode(g) for g, n in zip(got, null, strict=True)], pa.string())] if into else []
