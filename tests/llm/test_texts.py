@@ -258,6 +258,18 @@ def test_ppm_keeps_every_count(spark, monkeypatch):
         assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], atol=1e-8)
 
 
+def test_ppm_tells_bytes_apart(spark):
+    """Digits, Cyrillic and code that the training text holds have a context model: a permutation of them is far less likely."""
+    known = ["заказ 1357 x=(y+2);", "код 8642 {a[0]}", "дом 9075 <b>@q</b>"]
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2][:6]
+    other = ["казаз 7531 y=(2+x);", "дко 2468 {0[a]}", "мод 5709 <q>@b</q>"]
+    asked = dict(zip(held, known + other, strict=True))
+    rows = [(i, asked.get(i, known[i % 3])) for i in range(held[-1] + 1) if i in asked or zlib.crc32(str(i).encode()) % 7 != 2]
+    got = {r.doc_id: r.score for r in ppm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(3):
+        assert got[held[i]] > -6 and got[held[i + 3]] < got[held[i]] - 10
+
+
 def test_ppm_adaptive_learns():
     r = random.Random(1)
     assert ppm.adaptive(b"abcabcabcabcabcabc" * 5) > ppm.adaptive(bytes(r.randrange(97, 123) for _ in range(90)))
