@@ -9,7 +9,7 @@ import os
 import duckdb
 import pytest
 
-from tidemark.plans import queries
+from tidemark.plans import queries, shop_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")

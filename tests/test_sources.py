@@ -45,6 +45,48 @@ def test_lost_races_fail(spark, tmp_path):
     assert content(t.read()) == [(1, "a")]
 
 
+def test_dead_writers_block_nobody(spark, tmp_path):
+    """A writer that dies between its guard and the rename leaves the guard; one that dies earlier leaves files that no entry names."""
+    t = Table(spark, f"file://{tmp_path}/t")
+    t.append(frame(spark, [(1, "a")]))
+    guard = tmp_path / "t/_log" / f".lock-{1:020d}.json"
+    guard.write_text("")
+    with pytest.raises(Conflict):  # it may still be at work
+        t.append(frame(spark, [(2, "b")]))
+    os.utime(guard, (1, 1))
+    assert t.append(frame(spark, [(2, "b")])) == 1 and not guard.exists()
+    assert content(t.read()) == [(1, "a"), (2, "b")]
+    assert t.vacuum(older=0) == 1 and content(t.read()) == [(1, "a"), (2, "b")]  # the folder of the lost race
+
+
+def test_progress_is_carried_and_old_versions_go(spark, tmp_path):
+    t = Table(spark, f"file://{tmp_path}/t")
+    t.append(frame(spark, [(0, "a")]), metadata={"done": 7})
+    for n in range(1, 5):
+        t.append(frame(spark, [(n, "b")]))
+    for n in range(110):
+        t.commit("note", None, metadata={"n": n})
+    assert t.metadata("done") == 7 and t.metadata("n") == 109
+    assert t.compact() == 115 and len(t.entry().folders) == 1 and t.read().count() == 5
+    assert t.ensure(owner="x") == 116 and t.ensure(owner="x") is None
+    assert t.vacuum(keep=1, pinned=[0], older=0) == 4 and t.versions() == [0, 116]
+    assert content(t.read(0)) == [(0, "a")] and t.read().count() == 5 and t.metadata("done") == 7
+
+
+def test_merge_rewrites_only_files_with_its_keys(spark, tmp_path):
+    t = Table(spark, f"file://{tmp_path}/t")
+    t.overwrite(frame(spark, [(k, "a") for k in range(40)]).repartitionByRange(4, "k"))
+    files = set(t.files.below(t.entry().folders[0]))
+    t.merge(frame(spark, [(3, "x"), (100, "n")]), ["k"])
+    assert len(files & set(t.entry().folders)) == 3 and t.read().count() == 41
+    assert t.merge(frame(spark, [(3, "x")]), ["k"]) is None and not [n for n in t.files.names("data") if n.startswith("2-")]
+    before = set(t.entry().folders)
+    v = t.merge(frame(spark, [(200, "n"), (None, "z")]), ["k"])  # inserts rewrite nothing
+    assert before < set(t.entry().folders) and content(t.changes(v, v).select("_change_type").distinct()) == [("insert",)]
+    t.merge(frame(spark, [(3, "y")]), ["k"], drop_missing=True)
+    assert content(t.read()) == [(3, "y")]
+
+
 def test_new_columns_are_added_on_append(spark, tmp_path):
     t = Table(spark, f"file://{tmp_path}/t")
     t.append(frame(spark, [(1, "a")]))
@@ -191,8 +233,9 @@ def test_late_events_lose(spark, tmp_path):
 def test_guards(spark, tmp_path):
     os.makedirs(f"{tmp_path}/cp/offsets")
     with pytest.raises(RuntimeError):
-        stream.guard_checkpoint(f"{tmp_path}/cp", False)
-    stream.guard_checkpoint(f"{tmp_path}/cp", True)
+        stream.guard_checkpoint(spark, f"file://{tmp_path}/cp", False)
+    stream.guard_checkpoint(spark, f"file://{tmp_path}/cp", True)
+    stream.guard_checkpoint(spark, f"file://{tmp_path}/none", False)
     with pytest.raises(ValueError):
         stream.kafka(spark, "h:1", topics="a", pattern="b")
     p = stream.Pending(2)

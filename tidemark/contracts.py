@@ -56,6 +56,29 @@ TYPE2 = {
 TYPE1 = {"dim_customer": ("last_login",), "dim_product": ("unit_price", "compare_at_price", "stock_quantity", "reserved_quantity")}
 ADDRESS = ("address_type", "recipient_name", "phone_number", "street", "ward", "district", "city", "state", "postal_code", "country")
 
+# Names of the star schema's attributes, by what they are read from.
+#: Attributes of a day by date part, and by pattern.
+DAY = {
+    "day_of_month": "DAY", "day_of_week": "DAYOFWEEK", "day_of_year": "DOY", "fiscal_quarter": "QUARTER", "fiscal_year": "YEAR", "month_number": "MONTH", "quarter_number": "QUARTER",
+    "week_of_year": "WEEK", "year_number": "YEAR",
+}
+DAY_WORDS = {"day_name": "EEEE", "month_name": "MMMM"}
+#: Attributes of a second of the day: its unit in seconds, and how many of them the next larger unit has.
+CLOCK = {"hour_24": (3600, 24), "minute_number": (60, 60), "second_number": (1, 60)}
+#: Sets of an order's vouchers by the voucher's column, and those that make the combination's identity.
+VOUCHER_SETS = {"discount_types": "discount_type", "promotion_scope": "scope_json", "voucher_codes": "voucher_code", "voucher_names": "voucher_name"}
+PROMOTION_IDENTITY = ("voucher_codes", "discount_types", "promotion_scope")
+#: What the unknown member of a dimension says.
+UNKNOWN = {
+    "dim_date": {"day_name": "Unknown", "month_name": "Unknown", "season_name": "Unknown"}, "dim_time": {"am_pm": "NA", "day_part": "Unknown"},
+    "dim_location": {"address_type": "unknown", "city": "Unknown", "country": "Unknown", "content_hash": "unknown"},
+    "dim_promotion": {"natural_promotion_hash": "none", "promotion_type": "none", "voucher_count": 0, "voucher_codes": "NO_VOUCHER", "promotion_scope": "none", "is_active": False},
+    "dim_payment": {"payment_method": "unknown", "payment_status": "unknown", "content_hash": "unknown", "paid_flag": False},
+    "dim_shipping": {"carrier": "unknown", "shipment_status": "unknown", "content_hash": "unknown", "shipped_flag": False, "delivered_flag": False},
+    "dim_shop": {"shop_name": "Unknown Shop", "status": "unknown"}, "dim_category": {"slug": "unknown", "is_active": False},
+    "dim_product": {"product_name": "Unknown Product", "product_status": "unknown", "is_featured": False, "is_default": False},
+}
+
 #: What a changed source table rebuilds.
 FEEDS = {
     "app_users": ("dim_customer",), "orders": ("dim_date", "dim_time", "dim_location", "fact_sales"), "user_addresses": ("dim_location",), "shops": ("dim_shop",),

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 KEY_RANGE = 9223372036854775807
 SEPARATOR = "||"
 OPEN_END = "9999-12-31 00:00:00"
+#: The seasons from December on, and the hours at which parts of the day begin.
+SEASONS = ("Winter", "Spring", "Summer", "Autumn")
+PARTS_OF_DAY = ((5, "morning"), (12, "afternoon"), (18, "evening"), (22, "night"))
 
 
 def natural_hash(*parts: Column) -> Column:
@@ -86,8 +89,13 @@ def time_key(c: Column) -> Column:
 
 
 def season(month: Column) -> Column:
-    return F.when(month.between(3, 5), "Spring").when(month.between(6, 8), "Summer").when(month.between(9, 11), "Autumn").otherwise("Winter")
+    """Quarters of a year that begins in December."""
+    return F.element_at(F.array(*map(F.lit, SEASONS)), F.floor(month % 12 / 3).cast("int") + 1)
 
 
 def day_part(hour: Column) -> Column:
-    return F.when(hour.between(5, 11), "morning").when(hour.between(12, 17), "afternoon").when(hour.between(18, 21), "evening").otherwise("night")
+    """The last part that begins at the hour or before; before all, the last one."""
+    begun = F.lit(PARTS_OF_DAY[-1][1])
+    for start, name in PARTS_OF_DAY:
+        begun = F.when(hour >= start, name).otherwise(begun)
+    return begun

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 import sys
 import time
 from typing import Any
@@ -25,6 +24,7 @@ from tidemark import settings
 from tidemark.plans import batch, bronze, validate
 from tidemark.plans.layers import Lake
 from tidemark.sources.generator import Shop
+from tidemark.sources.store import Files
 from tidemark.streaming import cdc, gold, stream
 
 RECORD = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
@@ -72,10 +72,6 @@ def checkpoint(s: settings.Settings, query: str) -> str:
     return f"{(s.streaming.checkpoints or s.lake + '/checkpoints').rstrip('/')}/{query}-{s.streaming.checkpoint_version}"
 
 
-def _local(path: str) -> str:
-    return path.removeprefix("file://")
-
-
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tidemark")
     p.add_argument("command", choices=("generate", "batch", "validate", "ingest", "merge", "reconcile"))
@@ -113,13 +109,13 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "ingest":
         if not s.streaming.enabled:
             p.error("streaming is not enabled")
-        stream.guard_checkpoint(_local(checkpoint(s, "raw")), "://" in raw and not raw.startswith("file://") or os.path.isdir(_local(raw)))
+        stream.guard_checkpoint(spark, checkpoint(s, "raw"), bool(Files(spark, raw).names(".")))
         source = stream.kafka(spark, s.streaming.servers, topics=s.streaming.topics or None, pattern=s.streaming.pattern or None, starting=s.streaming.starting, fail_on_loss=s.streaming.fail_on_loss, most=s.streaming.most_offsets)
         query = stream.append(cdc.normalise(source), raw, checkpoint(s, "raw"), None if a.available_now else s.streaming.every)
         follow(query, None)
         out = {"ended": time.time()}
     else:
-        stream.guard_checkpoint(_local(checkpoint(s, "merge")), lake.silver("orders").exists())
+        stream.guard_checkpoint(spark, checkpoint(s, "merge"), lake.silver("orders").exists())
         reconciler = gold.Reconciler(lake)
         source = stream.files(spark, raw, envelope_schema(spark), s.streaming.most_files, s.streaming.most_bytes or None)
         follow(gold.raw_to_gold(lake, source, checkpoint(s, "merge"), "merge", reconciler, None if a.available_now else s.streaming.every), reconciler)

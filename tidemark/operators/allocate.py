@@ -16,21 +16,17 @@ def share(amount: Column, weight: Column, total: Column) -> Column:
     return (F.signum(amount).cast("decimal(1,0)") * (quotient + up.cast("int")).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
 
 
-def allocation(order: str, amount: Column, weight: Column) -> Column:
-    """Each line's share of `amount` by weight; 0 if no line weighs anything."""
-    total = F.sum(weight).over(Window.partitionBy(order))
-    return F.when(total > 0, share(amount, weight, F.when(total > 0, total))).otherwise(F.lit(0)).cast("decimal(18,2)")
-
-
 def allocate(df: DataFrame, order: str, line: str, amounts: dict[str, Column], weight: Column) -> DataFrame:
     """df with one column for every amount: the line with the highest id takes what rounding left (or all, if no line weighs anything). All windows share one partitioning, so there is one shuffle."""
     whole, last = Window.partitionBy(order), Window.partitionBy(order).orderBy(F.col(line).desc())
-    df = df.withColumn("_last", F.row_number().over(last) == 1)
-    for name, amount in amounts.items():
-        df = df.withColumn("_raw", allocation(order, amount, weight))
-        rest = amount - (F.sum("_raw").over(whole) - F.col("_raw"))
-        df = df.withColumn(name, F.when(F.col("_last"), rest).otherwise(F.col("_raw")).cast("decimal(18,2)"))
-    return df.drop("_last", "_raw")
+    # all shares in one window, all rests in a second
+    df = df.withColumns({"_last": F.row_number().over(last) == 1, "_weight": F.sum(weight).over(whole)})
+    weighs = F.col("_weight") > 0
+    df = df.withColumns({f"_raw_{n}": F.when(weighs, share(a, weight, F.when(weighs, F.col("_weight")))).otherwise(F.lit(0)).cast("decimal(18,2)") for n, a in amounts.items()})
+    df = df.withColumns({f"_sum_{n}": F.sum(f"_raw_{n}").over(whole) for n in amounts})
+    rest = lambda n, a: a - (F.col(f"_sum_{n}") - F.col(f"_raw_{n}"))
+    df = df.withColumns({n: F.when(F.col("_last"), rest(n, a)).otherwise(F.col(f"_raw_{n}")).cast("decimal(18,2)") for n, a in amounts.items()})
+    return df.drop("_last", "_weight", *[f"_{x}_{n}" for x in ("raw", "sum") for n in amounts])
 
 
 def with_discounts(lines: DataFrame, order: str, line: str, gross: str, line_discount: str, header_discount: str, shipping: str, tax: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import any_of
 
+# Measures that may not be negative, keys that every fact has, and how far sums may be off.
 MONEY = ("unit_price_amount", "gross_sales_amount", "line_discount_amount", "order_discount_amount_allocated", "total_discount_amount", "tax_amount", "shipping_amount_allocated", "net_sales_amount")
 REQUIRED = ("order_date_key", "order_time_key", "customer_key", "product_key", "shop_key", "category_key", "ship_to_location_key", "bill_to_location_key")
 TOLERANCE = 0.01

@@ -79,7 +79,7 @@ def version_members(name: str, table: Table, members: DataFrame) -> None:
     born = F.coalesce("source_created_at", "effective_from")
     if not table.exists():
         first = scd2.with_keys(members.withColumn("effective_from", born), member, key)
-        table.overwrite(dimensions.with_unknown(first.withColumns({"effective_to": F.lit(c.OPEN_END).cast("timestamp"), "is_current": F.lit(True)}), key), keys=(key,))
+        table.overwrite(dimensions.with_unknown(first.withColumns({"effective_to": F.lit(c.OPEN_END).cast("timestamp"), "is_current": F.lit(True)}), key, name), keys=(key,))
         return
     held = affected.within(table.read(), members, member)
     known = held.select(member).distinct().withColumn("_known", F.lit(True))
@@ -89,21 +89,21 @@ def version_members(name: str, table: Table, members: DataFrame) -> None:
     table.merge(scd2.apply(held, staged, member, type1), [key])
 
 
-def add_members(table: Table, members: DataFrame, key: str) -> None:
+def add_members(table: Table, members: DataFrame, key: str, name: str) -> None:
     """Members that the dimension doesn't hold yet."""
     if not table.exists():
-        table.overwrite(dimensions.with_unknown(current.latest(members, [key], [F.col(x) for x in members.columns if x != key]), key))
+        table.overwrite(dimensions.with_unknown(current.latest(members, [key], [F.col(x) for x in members.columns if x != key]), key, name))
         return
     fresh = current.insert_only(table.read(), members, [key])
     if not fresh.isEmpty():
         table.append(fresh)
 
 
-def put_members(table: Table, members: DataFrame, key: str) -> None:
+def put_members(table: Table, members: DataFrame, key: str, name: str) -> None:
     if table.exists():
         table.merge(members, [key])
     else:
-        table.overwrite(dimensions.with_unknown(members, key), keys=(key,))
+        table.overwrite(dimensions.with_unknown(members, key, name), keys=(key,))
 
 
 def promotion_members(order_vouchers: DataFrame, vouchers: DataFrame) -> DataFrame:
@@ -186,12 +186,12 @@ def build(lake: Lake, batch_id: str, full: bool = False) -> dict[str, object]:
 
         plans: dict[str, Callable[[], None]] = {
             "dim_customer": customers, **{n: versioned(n) for n in VERSIONED},
-            "dim_date": lambda: add_members(lake.gold("dim_date"), dimensions.days(touched("orders"), "created_at"), "date_key"),
-            "dim_time": lambda: add_members(lake.gold("dim_time"), dimensions.seconds(touched("orders"), "created_at"), "time_key"),
-            "dim_location": lambda: add_members(lake.gold("dim_location"), dimensions.locations(touched("user_addresses"), touched("orders")), "location_key"),
-            "dim_payment": lambda: add_members(lake.gold("dim_payment"), dimensions.payments(touched("payments")), "payment_key"),
-            "dim_shipping": lambda: add_members(lake.gold("dim_shipping"), dimensions.shipping(touched("shipments")), "shipping_key"),
-            "dim_promotion": lambda: put_members(lake.gold("dim_promotion"), promotion_members(of("order_vouchers"), t["vouchers"]), "promotion_key"),
+            "dim_date": lambda: add_members(lake.gold("dim_date"), dimensions.days(touched("orders"), "created_at"), "date_key", "dim_date"),
+            "dim_time": lambda: add_members(lake.gold("dim_time"), dimensions.seconds(touched("orders"), "created_at"), "time_key", "dim_time"),
+            "dim_location": lambda: add_members(lake.gold("dim_location"), dimensions.locations(touched("user_addresses"), touched("orders")), "location_key", "dim_location"),
+            "dim_payment": lambda: add_members(lake.gold("dim_payment"), dimensions.payments(touched("payments")), "payment_key", "dim_payment"),
+            "dim_shipping": lambda: add_members(lake.gold("dim_shipping"), dimensions.shipping(touched("shipments")), "shipping_key", "dim_shipping"),
+            "dim_promotion": lambda: put_members(lake.gold("dim_promotion"), promotion_members(of("order_vouchers"), t["vouchers"]), "promotion_key", "dim_promotion"),
         }
         lake.each(lambda name: plans[name](), [n for n in GOLD if n in plans and n in wanted])
         dims = {n: lake.gold(n).read() for n in GOLD if n != "fact_sales"}

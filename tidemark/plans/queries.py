@@ -6,12 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
 from tidemark.operators import affected, allocate, current, dimensions, quality, scd2
 from tidemark.sources import outbox
+from tidemark.sources.release import Releases
 from tidemark.sources.store import Table
 from tidemark.streaming import cdc, stream
 
@@ -113,21 +114,23 @@ def current_state_alive(spark: SparkSession, d: str) -> DataFrame:
     return current.alive(current.current_state(_change_events(spark, d), ["user_id"], ["user_id", "event_type", "value"])).select("user_id", "event_type", "value")
 
 
-@query("SELECT count(*) AS n_events, count(DISTINCT event_id) AS n_ids, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS n_deletes FROM events")
+@query("SELECT CAST(user_id AS INTEGER) AS user_id, event_type, CAST(event_id AS BIGINT) AS sequence, sha256(concat('users||', event_id, '||', CASE event_type WHEN 'error' THEN 'DELETE' WHEN 'signup' THEN 'INSERT' ELSE 'UPDATE' END)) AS history_event_id FROM events")
 def change_history_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Every event with the id that it gets again when it is read again."""
     h = current.change_history(_change_events(spark, d), "users", ["user_id", "event_type"])
-    return h.agg(F.count("*").alias("n_events"), F.countDistinct("_history_event_id").alias("n_ids"), F.count_if(F.col("_operation") == "DELETE").alias("n_deletes"))
+    return h.select("user_id", "event_type", F.col("_source_event_sequence").alias("sequence"), F.col("_history_event_id").alias("history_event_id"))
 
 
 def _split_by_hour(spark: SparkSession, d: str, late: bool) -> DataFrame:
-    e = read(spark, d, "events").where(F.col("event_id") % 3 == (0 if late else 1))
+    late_ones = F.col("event_id") % 3 == 0
+    e = read(spark, d, "events").where(late_ones if late else ~late_ones)
     return current.latest(e, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()]).select("user_id", "event_id", "event_type", "value", "ts")
 
 
-_SPLIT_SQL = "SELECT user_id, event_id, event_type, value, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events WHERE event_id % 3 = {m}) WHERE n = 1"
+_SPLIT_SQL = "SELECT user_id, event_id, event_type, value, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events WHERE (event_id % 3 = 0) = {late}) WHERE n = 1"
 
 
-@query(f"""WITH t AS ({_SPLIT_SQL.format(m=1)}), s AS ({_SPLIT_SQL.format(m=0)})
+@query(f"""WITH t AS ({_SPLIT_SQL.format(late='false')}), s AS ({_SPLIT_SQL.format(late='true')})
 SELECT coalesce(t.user_id, s.user_id) AS user_id, CASE WHEN s.user_id IS NOT NULL AND (t.user_id IS NULL OR (s.ts, s.event_id) > (t.ts, t.event_id)) THEN s.event_id ELSE t.event_id END AS event_id,
  CASE WHEN t.user_id IS NULL THEN 'insert' WHEN s.user_id IS NOT NULL AND (s.ts, s.event_id) > (t.ts, t.event_id) THEN 'update' ELSE 'none' END AS change FROM t FULL JOIN s ON t.user_id = s.user_id""")
 def sequence_guarded_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -136,12 +139,12 @@ def sequence_guarded_upsert(spark: SparkSession, d: str) -> DataFrame:
     return r.select("user_id", "event_id", F.col("_change").alias("change"))
 
 
-@query("""WITH t AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0), s AS (SELECT * FROM orders WHERE o_orderkey % 3 = 0)
+@query("""WITH t AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0), s AS (SELECT * FROM orders WHERE o_orderkey % 3 = 0)
 SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, CASE WHEN s.o_orderkey IS NOT NULL THEN 'X' ELSE t.o_orderstatus END AS o_orderstatus FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey WHERE NOT (coalesce(t.o_orderkey, s.o_orderkey) % 5 = 0)""")
 def upsert_with_delete_keys(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     source = o.where("o_orderkey % 3 = 0 and o_orderkey % 5 <> 0").withColumn("o_orderstatus", F.lit("X"))
-    r = current.upsert(o.where("o_orderkey % 2 = 0"), source, ["o_orderkey"], delete_keys=o.where("o_orderkey % 5 = 0"))
+    r = current.upsert(o.where("o_orderkey % 2 = 0 or o_orderkey % 3 <> 0"), source, ["o_orderkey"], delete_keys=o.where("o_orderkey % 5 = 0"))
     return current.merged(r)
 
 
@@ -229,14 +232,14 @@ def prehistory_fallback(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT CAST(strftime(f, '%Y%m%d') AS INTEGER) AS date_key, f AS full_date, CAST(dayofweek(f) + 1 AS SMALLINT) AS day_of_week, strftime(f, '%A') AS day_name, CAST(day(f) AS SMALLINT) AS day_of_month, CAST(dayofyear(f) AS SMALLINT) AS day_of_year,
- CAST(week(f) AS SMALLINT) AS week_of_year, CAST(month(f) AS SMALLINT) AS month, strftime(f, '%B') AS month_name, CAST(quarter(f) AS SMALLINT) AS quarter, CAST(year(f) AS SMALLINT) AS year, dayofweek(f) IN (0, 6) AS is_weekend, f = last_day(f) AS is_month_end,
- CASE WHEN month(f) BETWEEN 3 AND 5 THEN 'Spring' WHEN month(f) BETWEEN 6 AND 8 THEN 'Summer' WHEN month(f) BETWEEN 9 AND 11 THEN 'Autumn' ELSE 'Winter' END AS season, CAST(year(f) AS SMALLINT) AS fiscal_year, CAST(quarter(f) AS SMALLINT) AS fiscal_quarter
+ CAST(week(f) AS SMALLINT) AS week_of_year, CAST(month(f) AS SMALLINT) AS month_number, strftime(f, '%B') AS month_name, CAST(quarter(f) AS SMALLINT) AS quarter_number, CAST(year(f) AS SMALLINT) AS year_number, dayofweek(f) IN (0, 6) AS is_weekend, f = last_day(f) AS is_month_end,
+ CASE WHEN month(f) BETWEEN 3 AND 5 THEN 'Spring' WHEN month(f) BETWEEN 6 AND 8 THEN 'Summer' WHEN month(f) BETWEEN 9 AND 11 THEN 'Autumn' ELSE 'Winter' END AS season_name, CAST(year(f) AS SMALLINT) AS fiscal_year, CAST(quarter(f) AS SMALLINT) AS fiscal_quarter
  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS f FROM orders)""")
 def dim_date(spark: SparkSession, d: str) -> DataFrame:
     return dimensions.days(read(spark, d, "orders"), "o_orderdate")
 
 
-@query("""SELECT k AS time_key, strftime(TIMESTAMP '2000-01-01' + to_seconds(k - 1), '%H:%M:%S') AS time_of_day, CAST((k - 1) // 3600 AS SMALLINT) AS hour, CAST(((k - 1) // 60) % 60 AS SMALLINT) AS minute, CAST((k - 1) % 60 AS SMALLINT) AS second,
+@query("""SELECT k AS time_key, strftime(TIMESTAMP '2000-01-01' + to_seconds(k - 1), '%H:%M:%S') AS full_time, CAST((k - 1) // 3600 AS SMALLINT) AS hour_24, CAST(((k - 1) // 60) % 60 AS SMALLINT) AS minute_number, CAST((k - 1) % 60 AS SMALLINT) AS second_number,
  CASE WHEN (k - 1) // 3600 < 12 THEN 'AM' ELSE 'PM' END AS am_pm, CASE WHEN (k - 1) // 3600 BETWEEN 5 AND 11 THEN 'morning' WHEN (k - 1) // 3600 BETWEEN 12 AND 17 THEN 'afternoon' WHEN (k - 1) // 3600 BETWEEN 18 AND 21 THEN 'evening' ELSE 'night' END AS day_part
  FROM (SELECT DISTINCT CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) + 1 AS INTEGER) AS k FROM events)""")
 def dim_time(spark: SparkSession, d: str) -> DataFrame:
@@ -252,14 +255,19 @@ def dim_location_content_hash(spark: SparkSession, d: str) -> DataFrame:
     return both.select("n_name", "r_name", c.natural_hash(F.col("n_name"), F.col("r_name"), F.col("n_nationkey")).alias("content_hash"))
 
 
-@query("""SELECT l_orderkey, count(*) AS n, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS brands, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS types, min(l_shipdate) AS starts_at, max(l_shipdate) AS ends_at, max(p_size) AS largest, bool_or(p_size > 40) AS any_large
- FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey""")
+@query("""WITH s AS (SELECT l_orderkey AS order_id, CAST(count(*) AS INTEGER) AS voucher_count, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS voucher_codes, string_agg(DISTINCT p_name, ',' ORDER BY p_name) AS voucher_names, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS discount_types,
+ string_agg(DISTINCT CAST(p_size % 3 AS VARCHAR), ',' ORDER BY CAST(p_size % 3 AS VARCHAR)) AS promotion_scope, min(TIMESTAMP '2024-01-01' + to_days(p_size)) AS promotion_start_at, max(TIMESTAMP '2025-01-01' + to_days(p_size)) AS promotion_end_at, max(CAST(p_retailprice AS DECIMAL(18,2))) AS minimum_order_amount, bool_or(p_size > 40) AS is_active
+ FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)
+SELECT * REPLACE (coalesce(voucher_codes, '') AS voucher_codes, coalesce(voucher_names, '') AS voucher_names, coalesce(discount_types, '') AS discount_types, coalesce(promotion_scope, '') AS promotion_scope),
+ sha256(concat(coalesce(voucher_codes, ''), '||', coalesce(discount_types, ''), '||', coalesce(promotion_scope, ''))) AS natural_promotion_hash FROM s""")
 def dim_promotion_sets(spark: SparkSession, d: str) -> DataFrame:
-    f = read(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate").join(read(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
-    listed = lambda n: F.array_join(F.array_sort(F.collect_set(n)), ",")
-    return f.groupBy("l_orderkey").agg(
-        F.count("*").alias("n"), listed("p_brand").alias("brands"), listed("p_type").alias("types"), F.min("l_shipdate").alias("starts_at"), F.max("l_shipdate").alias("ends_at"), F.max("p_size").alias("largest"), F.bool_or(F.col("p_size") > 40).alias("any_large")
+    """Parts as vouchers, an order's lines as their uses."""
+    day = lambda start: F.to_timestamp_ntz(F.lit(start)) + F.make_dt_interval(F.col("p_size"))
+    vouchers = read(spark, d, "part").select(
+        F.col("p_partkey").alias("voucher_id"), F.col("p_brand").alias("voucher_code"), F.col("p_name").alias("voucher_name"), F.col("p_type").alias("discount_type"), (F.col("p_size") % 3).alias("scope_json"),
+        day("2024-01-01").alias("starts_at"), day("2025-01-01").alias("ends_at"), F.col("p_retailprice").cast(MONEY).alias("minimum_order_amount"), (F.col("p_size") > 40).alias("is_active"),
     )
+    return dimensions.promotions(read(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("voucher_id")), vouchers).drop("promotion_key", "promotion_type")
 
 
 @query("SELECT DISTINCT o_orderstatus, o_orderpriority, sha256(concat(coalesce(o_orderstatus, ''), '||', coalesce(o_orderpriority, ''))) AS content_hash FROM orders")
@@ -305,9 +313,9 @@ def referential_integrity(spark: SparkSession, d: str) -> DataFrame:
     return quality.dangling(read(spark, d, "lineitem"), {"l_partkey": ("part", read(spark, d, "part").where("p_size > 5"), "p_partkey"), "l_suppkey": ("supplier", read(spark, d, "supplier").where("s_acctbal > 0"), "s_suppkey")})
 
 
-@query("""SELECT count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS n_keys, count(DISTINCT l_partkey) AS n_surrogates, count_if(l_quantity <= 0 OR l_discount < 0.05) AS n_invalid, CAST(0 AS BIGINT) AS n_unresolved, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total_gross FROM (SELECT *, l_discount - 0.05 AS m FROM lineitem)""")
+@query("""SELECT count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS n_keys, count(DISTINCT l_partkey) AS n_surrogates, count_if(l_quantity <= 0 OR l_discount < 0.05) AS n_invalid, count_if(l_suppkey % 50 = 0) AS n_unresolved, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total_gross FROM (SELECT *, l_discount - 0.05 AS m FROM lineitem)""")
 def fact_metrics_one_pass(spark: SparkSession, d: str) -> DataFrame:
-    f = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").alias("quantity"), F.when(F.col("l_discount") < 0.05, -1).otherwise(1).alias("m"), (F.col("l_suppkey") + 1).alias("k"), F.col("l_extendedprice").cast(MONEY).alias("gross"))
+    f = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").alias("quantity"), F.when(F.col("l_discount") < 0.05, -1).otherwise(1).alias("m"), (F.col("l_suppkey") % 50).alias("k"), F.col("l_extendedprice").cast(MONEY).alias("gross"))
     return quality.metrics(f, ("l_orderkey", "l_linenumber"), "l_partkey", ["m"], ["k"], ["gross"]).withColumn("total_gross", F.col("total_gross").cast("decimal(38,2)"))
 
 
@@ -361,14 +369,6 @@ def json_extract_typed(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.try_element_at("m", F.lit("k")).try_cast("int").alias("k"), F.get_json_object("props", "$.k").alias("k_text"), F.try_element_at("m", F.lit("absent")).alias("absent"))
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'b,k' WHEN event_id % 4 = 1 THEN 'k' ELSE '' END AS unexpected FROM events""")
-def schema_drift_detection(spark: SparkSession, d: str) -> DataFrame:
-    """Payload fields that the contract doesn't know, in order."""
-    fields = F.when(F.col("event_id") % 4 == 0, F.array(F.lit("k"), F.lit("a"), F.lit("b"))).when(F.col("event_id") % 4 == 1, F.array(F.lit("k"), F.lit("a"))).otherwise(F.array(F.lit("a")))
-    m = F.map_from_arrays(fields, F.transform(fields, lambda x: x))
-    return read(spark, d, "events").select("event_id", F.array_join(F.array_sort(F.array_except(F.map_keys(m), F.array(F.lit("a")))), ",").alias("unexpected"))
-
-
 def _envelopes(spark: SparkSession, d: str) -> DataFrame:
     """Events as transport records: deletes carry the row before, some values are broken on purpose."""
     e = read(spark, d, "events")
@@ -384,19 +384,29 @@ def _envelopes(spark: SparkSession, d: str) -> DataFrame:
         )
     )
     value = F.when(i % 101 == 0, F.lit(None)).when(i % 103 == 0, F.lit("{broken")).otherwise(envelope)
-    return e.select(F.lit(None).cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit("ev").alias("topic"), F.lit(0).alias("partition"), i.alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+    records = e.select(F.lit(None).cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit("ev").alias("topic"), (i % 8).cast("int").alias("partition"), i.alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+    return records.repartition(8, "partition")  # a topic is read in a task a partition
 
 
 _SCHEMAS = {"ev": {"event_id": "int", "event_type": "string", "amount": "decimal(12,2)", "seen_at": "timestamp"}}
 _KEYS = {"ev": ["event_id"]}
 
 
+@query("""SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'amount,surprise' ELSE 'amount' END AS unexpected FROM events WHERE event_id % 101 <> 0 AND event_id % 103 <> 0""")
+def schema_drift_detection(spark: SparkSession, d: str) -> DataFrame:
+    """Fields of the payloads that a contract without an amount doesn't know, in order."""
+    known = {"ev": {k: v for k, v in _SCHEMAS["ev"].items() if k != "amount"}}
+    df = cdc.decoded(cdc.normalise(_envelopes(spark, d)), known, _KEYS)
+    fields = F.regexp_extract("_quarantine_reason", "^unexpected_payload_fields:(.*)$", 1)
+    return df.select(F.col("offset").alias("event_id"), fields.alias("unexpected")).where("unexpected <> ''")
+
+
 def _decoded(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     tables, bad = cdc.decode(cdc.normalise(_envelopes(spark, d)), _SCHEMAS, _KEYS, "q:1:0")
     return tables["ev"], bad
 
 
-@query("""SELECT CAST(event_id AS INTEGER) AS event_id, event_type, CAST(value AS DECIMAL(12,2)) AS amount, CASE event_type WHEN 'error' THEN 'DELETE' WHEN 'signup' THEN 'INSERT' ELSE 'UPDATE' END AS operation, concat('ev:0:', event_id) AS transport_id, CAST(ts AS TIMESTAMP) AS seen_at
+@query("""SELECT CAST(event_id AS INTEGER) AS event_id, event_type, CAST(value AS DECIMAL(12,2)) AS amount, CASE event_type WHEN 'error' THEN 'DELETE' WHEN 'signup' THEN 'INSERT' ELSE 'UPDATE' END AS operation, concat('ev:', event_id % 8, ':', event_id) AS transport_id, CAST(ts AS TIMESTAMP) AS seen_at
  FROM events WHERE event_id % 101 <> 0 AND event_id % 103 <> 0 AND event_id % 17 <> 0 AND event_id % 13 <> 0""")
 def cdc_decode(spark: SparkSession, d: str) -> DataFrame:
     good, _ = _decoded(spark, d)
@@ -409,10 +419,11 @@ def cdc_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return bad.groupBy(F.col("_quarantine_reason").alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT count(*) AS n, count(DISTINCT event_id) AS n_hashes FROM events")
+@query("""SELECT event_id, sha256(concat('{"event_id":', event_id, ',"event_type":"', event_type, '","odd":', CASE WHEN event_id % 2 = 1 THEN '1' ELSE 'null' END, '}')) AS record_hash FROM events""")
 def record_hashes(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").select(c.record_hash(["event_id", "event_type", "value"]).alias("h"))
-    return e.agg(F.count("*").alias("n"), F.countDistinct("h").alias("n_hashes"))
+    """The hash of a row as JSON, null fields kept."""
+    e = read(spark, d, "events").withColumn("odd", F.when(F.col("event_id") % 2 == 1, 1))
+    return e.select("event_id", c.record_hash(["event_id", "event_type", "odd"]).alias("record_hash"))
 
 
 @query("SELECT count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber)) AS n_keys, true AS in_range FROM lineitem")
@@ -422,8 +433,12 @@ def surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder on shared storage: below spark.checkpoint.dir, or a local one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    """A new folder on shared storage: below spark.checkpoint.dir, or, on one machine where that is unset, a local one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.gettempdir()
     return f"{base}/tidemark/{uuid.uuid4().hex}/{name}"
 
 
@@ -439,33 +454,40 @@ def stream_available_now(spark: SparkSession, d: str) -> DataFrame:
     return table.read().select("user_id", "event_type", "value", F.col("_operation").alias("operation"))
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT o_orderkey, o_orderstatus, c_name FROM orders JOIN customer ON o_custkey = c_custkey")
 def release_snapshot_read(spark: SparkSession, d: str) -> DataFrame:
-    """A pinned version, read after a newer commit."""
-    table = Table(spark, scratch(spark, "nation"))
-    pinned = table.overwrite(read(spark, d, "nation"))
-    table.overwrite(read(spark, d, "nation").where("n_nationkey < 3"))
-    return table.read(pinned)
-
-
-@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 5 = 0 THEN 'X' ELSE n_name END AS n_name, CASE WHEN n_nationkey >= 20 THEN 'insert' ELSE 'update_postimage' END AS change FROM nation WHERE n_nationkey % 5 = 0 OR n_nationkey >= 20
-UNION ALL SELECT n_nationkey, n_name, 'update_preimage' FROM nation WHERE n_nationkey % 5 = 0 AND n_nationkey < 20""")
+    """Two tables as a release pins them, read after newer commits."""
+    at = scratch(spark, "release")
+    tables = {n: Table(spark, f"{at}/{n}") for n in ("orders", "customer")}
+    releases = Releases(spark, at, tuple(tables))
+    pinned = {n: t.overwrite(read(spark, d, n)) for n, t in tables.items()}
+    releases.publish("first", {}, {n: v or 0 for n, v in pinned.items()})
+    tables["orders"].append(read(spark, d, "orders").withColumn("o_orderstatus", F.lit("later")))
+    tables["customer"].overwrite(read(spark, d, "customer").limit(0))
+    o, cust = (releases.read(n, t) for n, t in tables.items())
+    return o.join(cust, o.o_custkey == cust.c_custkey).select("o_orderkey", "o_orderstatus", "c_name")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'X' ELSE c_mktsegment END AS segment, CASE WHEN c_custkey % 4 = 3 THEN 'insert' ELSE 'update_postimage' END AS change, 1 AS version FROM customer WHERE c_custkey % 4 = 3 OR c_custkey % 5 = 0
+UNION ALL SELECT c_custkey, c_mktsegment, 'update_preimage', 1 FROM customer WHERE c_custkey % 5 = 0 AND c_custkey % 4 <> 3
+UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'X' ELSE c_mktsegment END, 'delete', 2 FROM customer WHERE c_custkey % 9 = 0""")
 def change_feed_range(spark: SparkSession, d: str) -> DataFrame:
-    """What a merge changed, from its feed."""
-    n = read(spark, d, "nation").select("n_nationkey", "n_name")
-    table = Table(spark, scratch(spark, "nation"))
-    table.overwrite(n.where("n_nationkey < 20"))
-    name: Column = F.when(F.col("n_nationkey") % 5 == 0, "X").otherwise(F.col("n_name"))
-    version = table.merge(n.withColumn("n_name", name), ["n_nationkey"])
-    return table.changes(version or 0, version or 0).select("n_nationkey", "n_name", F.col("_change_type").alias("change"))
+    """What two merges changed, from their feeds: new and changed rows, then deletes."""
+    cust = read(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    table = Table(spark, scratch(spark, "customer"))
+    table.overwrite(cust.where("c_custkey % 4 <> 3"))
+    moved = cust.withColumn("segment", F.when(F.col("c_custkey") % 5 == 0, "X").otherwise(F.col("segment")))
+    table.merge(moved, ["c_custkey"])
+    table.merge(moved.limit(0), ["c_custkey"], delete_keys=cust.where("c_custkey % 9 = 0"))
+    return table.changes(1, 2).select("c_custkey", "segment", F.col("_change_type").alias("change"), F.col("_commit_version").cast("int").alias("version"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE (o_orderkey % 2 = 0 OR o_orderkey % 3 = 0) AND o_orderkey % 5 <> 0""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 5 <> 0""")
 def bucketed_table_merge(spark: SparkSession, d: str) -> DataFrame:
     """A merge into a table of 16 buckets, which rewrites those that it touches."""
     o = read(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     table = Table(spark, scratch(spark, "orders"), 16)
-    table.overwrite(o.where("o_orderkey % 2 = 0"), keys=("o_orderkey",))
+    table.overwrite(o.where("o_orderkey % 2 = 0 or o_orderkey % 3 <> 0"), keys=("o_orderkey",))
     source = o.where("o_orderkey % 3 = 0 and o_orderkey % 5 <> 0").withColumn("o_orderstatus", F.lit("X"))
     table.merge(source, ["o_orderkey"], delete_keys=o.where("o_orderkey % 5 = 0"))
     return table.read()

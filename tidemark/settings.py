@@ -58,7 +58,7 @@ class Streaming:
 class Settings:
     environment: str = "local"
     lake: str = ""
-    system: str = "ecommerce"
+    system: str = "shop"
     timezone: str = "UTC"
     runs: str = "runs"
     gold_owner: str = "batch"

@@ -12,7 +12,7 @@ from datetime import UTC, datetime
 from pathlib import Path
 from typing import Any
 
-from tidemark.sources.store import Conflict, Table
+from tidemark.sources.store import Table
 
 
 class RunStatus:
@@ -56,23 +56,35 @@ def local_lock(path: str, wait: float = 600, poll: float = 1.0) -> Iterator[None
 
 @contextmanager
 def table_lock(table: Table, owner: str, ttl: float = 21_600, wait: float = 600, poll: float = 5.0, clock=time.time) -> Iterator[None]:  # noqa: ANN001
-    """A lock held in a table's properties: free, or taken over once it has run out. The log's exclusive commits decide races."""
-    until = time.monotonic() + wait
+    """A lease file beside a table's log: free, or taken over once it has run out. It is created exclusively, and makes no commits."""
+    until, files, name = time.monotonic() + wait, table.files, "lease.json"
+    mine = {"owner": owner, "id": uuid.uuid4().hex, "until": clock() + ttl}
+
+    def lease(at: str = name) -> dict[str, Any]:
+        try:
+            return json.loads(files.read(at))
+        except Exception:
+            if files.exists(at):
+                raise
+            return {}
+
     while True:
-        held = json.loads(table.entry().properties.get("lock", "{}")) if table.exists() else {}
-        if not held or held["until"] < clock():
-            try:
-                base = table.entry().version if table.exists() else None
-                table.commit("lock", None, properties={"lock": json.dumps({"owner": owner, "until": clock() + ttl})}, expected=base)
-                break
-            except Conflict:
-                continue
+        held = lease()
+        if held and held["until"] < clock():
+            old = f".lease-{uuid.uuid4().hex}"
+            if files.move(name, old):
+                if lease(old)["id"] != held["id"]:  # another took it over in between: it keeps it
+                    files.move(old, name)
+                else:
+                    files.delete(old)
+            continue
+        if not held and files.create(json.dumps(mine), name):
+            break
         if time.monotonic() >= until:
-            raise TimeoutError(f"{table.path} is locked by {held['owner']}")
+            raise TimeoutError(f"{table.path} is locked by {held.get('owner')}")
         time.sleep(poll)
     try:
         yield
     finally:
-        held = json.loads(table.entry().properties.get("lock", "{}"))
-        if held.get("owner") == owner:
-            table.commit("unlock", None, properties={"lock": "{}"})
+        if lease().get("id") == mine["id"]:
+            files.delete(name)

@@ -35,7 +35,8 @@ class Releases:
 
     def publish(self, batch_id: str, silver: Mapping[str, int], gold: Mapping[str, int]) -> dict:
         release = self.checked({"schema_version": SCHEMA_VERSION, "batch_id": batch_id, "silver_versions": dict(silver), "gold_versions": dict(gold)})
-        n = len([x for x in self.files.names("releases") if x.endswith(".json") and x[0] != "."])
+        names = [x for x in self.files.names("releases") if x.endswith(".json") and x[0] != "."]
+        n = int(names[-1].split(".")[0]) + 1 if names else 0
         if not self.files.create(json.dumps(release), "releases", f"{n:010d}.json"):
             raise Conflict("another release was published")
         return release

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -35,9 +35,9 @@ def files(spark: SparkSession, path: str, schema: StructType, most: int | None =
     return (reader.option("maxFilesPerTrigger", most) if most else reader).parquet(path)
 
 
-def guard_checkpoint(checkpoint: str, target_exists: bool) -> None:
-    """A checkpoint whose target is gone would skip what the target lost."""
-    if os.path.isdir(checkpoint) and os.listdir(checkpoint) and not target_exists:
+def guard_checkpoint(spark: SparkSession, checkpoint: str, target_exists: bool) -> None:
+    """A checkpoint, on any file system, whose target is gone would skip what the target lost."""
+    if not target_exists and Files(spark, checkpoint).names("."):
         raise RuntimeError(f"{checkpoint} exists but its target doesn't; remove both or restore the target")
 
 
@@ -54,26 +54,31 @@ def to_current(stream: DataFrame, table: Table, checkpoint: str, writer: str, ke
     """Events merged into a current-state table. State is the table itself: late events lose against its sequence, replayed batches against its transactions."""
 
     def batch(df: DataFrame, n: int) -> None:
-        if not df.isEmpty():
-            table.merge(current.current_state(df, keys, columns), keys, [*current.SEQUENCE, "_bronze_event_id"], writer=writer, txn=n)
+        newest = current.current_state(df, keys, columns).persist()  # the merge reads it more than once
+        try:
+            if not newest.isEmpty():
+                table.merge(newest, keys, [*current.SEQUENCE, "_bronze_event_id"], writer=writer, txn=n)
+        finally:
+            newest.unpersist()
 
     return _started(stream.writeStream.foreachBatch(batch), checkpoint, every)
 
 
 def split(stream: DataFrame, tables: Mapping[str, Table], quarantine: Table, schemas: Mapping[str, Mapping[str, str]], keys: Mapping[str, Sequence[str]], checkpoint: str, query: str, every: str | None = None, then: Callable[[dict[str, DataFrame], int], None] | None = None) -> StreamingQuery:
-    """Raw envelopes into typed tables and quarantine, each written once a batch; `then` gets what was committed."""
+    """Raw envelopes into typed tables and quarantine, each written once a batch; `then` gets what was committed.
+
+    A batch is decoded once and kept; one count over what is kept says which tables have rows, and only those are written.
+    """
 
     def batch(df: DataFrame, n: int) -> None:
-        kept = df.persist()
+        kept = cdc.decoded(df, schemas, keys).persist()
         try:
             name = f"{query}:{n}"
-            typed, bad = cdc.decode(kept, schemas, keys, name)
-            written = {}
-            for t, rows in typed.items():
-                if not rows.isEmpty():
-                    written[t] = tables[t].append(rows, writer=query, txn=n)
-            if not bad.isEmpty():
-                quarantine.append(bad, writer=query, txn=n)
+            bad = F.col("_quarantine_reason").isNotNull()
+            found = {(r.bad, r.source_table) for r in kept.groupBy(bad.alias("bad"), F.when(~bad, F.col("source_table")).alias("source_table")).count().collect()}
+            written = {t: tables[t].append(cdc.of_table(kept, t, schemas[t], name), writer=query, txn=n) for t in schemas if (False, t) in found}
+            if (True, None) in found:
+                quarantine.append(cdc.quarantined(kept, name), writer=query, txn=n)
             if then:
                 # a replayed batch has no new version; its rows are found by its name
                 committed = lambda t, v: tables[t].read().where(f"_batch_id = '{name}'") if v is None else tables[t].changes(v, v).drop(CHANGE, "_commit_version")
