@@ -32,6 +32,17 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_a_hub(spark, monkeypatch):
+    """A node with more edges than one task may join: the same components."""
+    monkeypatch.setattr(common, "LIGHT", 4)
+    monkeypatch.setattr(common, "SHARE", 50)
+    r = random.Random(2)
+    edges = [(0, i) for i in range(1, 400)] + [(i, i + 1000) for i in range(1, 400, 2)] + [(5000 + i, 5001 + i) for i in range(30)] + [(9000, 9000 + r.randrange(1, 90)) for _ in range(300)]
+    got = {(x.node, x.root) for x in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {(x, 0 if x < 5000 else 5000 if x < 9000 else 9000) for e in edges for x in e}
+    assert got == want
+
+
 def vectors(spark):
     r = np.random.default_rng(3)
     v = r.standard_normal((1500, 64)).astype(np.float32)

@@ -134,12 +134,64 @@ def test_jaccard_join(spark, monkeypatch, block):
 
 def test_jaccard_join_edges(spark):
     assert neardup.join(docs(spark).limit(0)).count() == 0
-    assert neardup.depths() == [6, 5, 4]
+    assert [neardup.enough(s) for s in (0.8, 0.9, 0.95, 0.99)] == [4, 6, 6, 6] and neardup.enough(0.3) == 1
     df = docs(spark, ["a b c d e f g"] * 3 + ["other words that stand alone here"])
     kept = neardup.one_of_each(df)
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["0", "3", "None"] and kept.columns == df.columns
 
 
+def test_repeated_ids_with_other_texts(spark):
+    """Rows that share an id, or have none, are documents of their own: classes are those of brute force, and no text without a copy goes."""
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(300)}"
+    bases = [[word() for _ in range(60)] for _ in range(12)]
+    near = lambda b: " ".join([*b[:30], word(), *b[31:]])
+    rows = [(r.choice([1, 1, 2, 3, None, None]), near(r.choice(bases))) for _ in range(80)] + [(1, " ".join(b)) for b in bases] + [(None, "all alone " * 9), (None, "all alone " * 9), (7, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter((x.doc_id, x.class_id, x.links) for x in neardup.join(df).collect()) == brute_join(rows)
+    kept = [x.text for x in neardup.one_of_each(df).collect()]
+    sets = [shingled(t) for t in kept if t]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    assert not any(alike(a, b) for i, a in enumerate(sets) for b in sets[:i]) and len(kept) == len(sets) + 2
+    assert len({(i, c) for i, c, _ in brute_join(rows)}) and all(any(alike(shingled(t), a) or shingled(t) == a for a in sets) for _, t in rows if t and len(shingled(t)) and brute_alone(t, rows))
+
+
+def brute_alone(text, rows):
+    own = shingled(text)
+    return not any(t and t != text and len(own & shingled(t)) >= 0.8 * len(own | shingled(t)) for _, t in rows)
+
+
+def test_trie_runs_cross_partitions(spark):
+    """All leaves of a run are connected, wherever partitions end, and whatever the length of a step."""
+    r = random.Random(3)
+    minima = [bytes(b for _ in range(neardup.TREES) for d in range(neardup.DEPTH) for b in r.choice([1, 2, 3]).to_bytes(4, "little")) for _ in range(300)]
+    nodes = spark.createDataFrame([(i, bytearray(m)) for i, m in enumerate(minima)], "k long, sig binary")
+    least = 3
+    rows = nodes.select("k", "sig", F.explode(F.sequence(F.lit(0), F.lit(neardup.TREES - 1))).alias("tree"))
+    leaves = rows.select("k", F.concat(F.unhex(F.lpad(F.hex("tree"), 8, "0")), F.substring(F.col("sig"), F.col("tree") * 24 + 1, F.lit(24))).alias("path"))
+    got = leaves.repartitionByRange(13, "path", "k").sortWithinPartitions("path", "k").mapInArrow(neardup._walker(least), "a long, b long, depth int, prefix binary").collect()
+    for d in range(least, neardup.DEPTH + 1):
+        parent = list(range(300))
+
+        def root(i, parent=parent):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        heads = {}
+        for x in got:
+            if x.depth >= d:
+                other = x.b if x.prefix is None else heads.setdefault((x.depth, bytes(x.prefix)), x.a)
+                parent[root(x.a)] = root(other)
+        want = list(range(300))
+        for tree in range(neardup.TREES):
+            seen = {}
+            for i, m in enumerate(minima):
+                first = seen.setdefault(m[tree * 24 : tree * 24 + 4 * d], i)
+                want[root(i, want)] = root(first, want)
+        assert len({(root(i), root(i, want)) for i in range(300)}) == len({root(i) for i in range(300)}) == len({root(i, want) for i in range(300)}), d
+
+
 def gram_counts(texts):
     data, begin, end = ppm.layout(texts)
     path, pair = ppm.contexts(data)

@@ -25,22 +25,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Only where that is unset (tests, one machine) a local one is made."""
+    """The folder all executors share: spark.checkpoint.dir. Only on one machine, where that is unset (tests), a local one serves; a cluster without it is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = os.path.join(tempfile.gettempdir(), f"tidemark-{spark.sparkContext.applicationId}")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if path:
+        return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), f"tidemark-{spark.sparkContext.applicationId}")
 
 
 def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write df to the shared folder and read it back.
 
-    This cuts lineage with files that survive the loss of any executor. The
-    folder's owner removes it after the job, as with checkpoint().
+    This cuts lineage with files that survive the loss of any executor. They
+    lie in a folder of the application, which `drop_scratch` removes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark/{uuid.uuid4().hex}/{name}"
+    path = f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -48,6 +49,12 @@ def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all that `settle` wrote for this application. Frames made from it can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def crc_mod(column: Column, n: int) -> Column:
     """crc32 of the value as text, modulo n; null stays null."""
     return F.crc32(column.cast("string").cast("binary")) % F.lit(n)
@@ -100,13 +107,31 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple
         yield current, pa.Table.from_batches(held)
 
 
+#: Edges of a node that one task may join at least, and the share of all edges that it may.
+LIGHT, SHARE = 256, 5000
+
+
+def _with_least(edges: DataFrame, least: DataFrame, most: int) -> DataFrame:
+    """edges(a, b) with m of their node a, from least(n, m, edges).
+
+    Nodes of more than `most` edges are broadcast with their m: as their edges
+    sum up to the table's at most, there are at most rows / most of them. All
+    others are joined by key, which no task gets more than `most` rows of.
+    """
+    heavy, light = least.where(F.col("edges") > most).select("n", "m"), least.where(F.col("edges") <= most).select("n", "m")
+    few = F.broadcast(heavy)
+    on = edges.a == few.n
+    return edges.join(few, on).unionByName(edges.join(few, on, "left_anti").join(light, edges.a == light.n)).drop("n")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges(a, b) by alternating large-star and small-star rounds.
 
     Returns (node, root): every node of an edge with its component's smallest
     node. Every round is two aggregations and two joins on nodes; nothing is
-    collected but two numbers. Self-loops and repeated edges are harmless; no
-    edges give no rows.
+    collected but two numbers. A hub's edges are not gathered in one task: its
+    minimum is pre-aggregated and comes to them by broadcast. Self-loops and
+    repeated edges are harmless; no edges give no rows.
     """
 
     def canonical(e: DataFrame) -> DataFrame:
@@ -120,12 +145,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not before[0]:
             break
+        most = max(LIGHT, 2 * before[0] // SHARE)  # so SHARE nodes at most are broadcast
         both = edges.union(edges.select("b", "a").toDF("a", "b"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")).withColumnRenamed("a", "n")
-        large = both.join(least, both.a == least.n).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = canonical(large)
-        small_min = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
-        joined = large.join(small_min, large.a == small_min.n)
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("edges")).withColumnRenamed("a", "n")
+        large = canonical(_with_least(both, least, most).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("edges")).withColumnRenamed("a", "n")
+        joined = _with_least(large, least, most)
         small = joined.select("b", "m").toDF("a", "b").union(joined.select("a", "m").toDF("a", "b"))
         edges = settle(canonical(small), "edges")
         after = mark(edges)

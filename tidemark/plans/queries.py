@@ -385,7 +385,7 @@ def _envelopes(spark: SparkSession, d: str) -> DataFrame:
     )
     value = F.when(i % 101 == 0, F.lit(None)).when(i % 103 == 0, F.lit("{broken")).otherwise(envelope)
     records = e.select(F.lit(None).cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit("ev").alias("topic"), (i % 8).cast("int").alias("partition"), i.alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
-    return records.repartition(8, "partition")  # a topic is read in a task a partition
+    return records.repartition(8)  # a topic is read in as many tasks as it has partitions
 
 
 _SCHEMAS = {"ev": {"event_id": "int", "event_type": "string", "amount": "decimal(12,2)", "seen_at": "timestamp"}}
