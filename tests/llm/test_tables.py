@@ -74,6 +74,22 @@ def test_search_recall(spark, block):
     assert ann.search(t.where("vec_id < 3"), t.where("vec_id = 0")).count() == 2
 
 
+def test_search_by_row(spark):
+    """Repeated ids ask for themselves; tiny and huge components neither end the search nor change a cosine."""
+    r = np.random.default_rng(4)
+    v = r.standard_normal((40, 8))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(50, v[1].tolist()), (50, v[2].tolist()), (50, v[2].tolist())] + [(60, (v[3] * 2.0**-660).tolist()), (61, (v[3] * 2.0**660).tolist()), (62, [5e-324] + [0.0] * 7), (63, [1.0, 2.0])]
+    t = spark.createDataFrame(rows, "vec_id long, v array<double>").where(ann.usable(F.col("v")))
+    unit = lambda x: (y := np.array(x) / np.abs(x).max()) / np.linalg.norm(y)
+    want = []
+    for n, (i, x) in enumerate(rows):
+        if i in (0, 50, 60, 61, 62, 63):
+            s = sorted((round(-float(unit(x) @ unit(y)), 9), j) for m, (j, y) in enumerate(rows) if m != n and len(y) == len(x))
+            want += [(i, k + 1, j, -c) for k, (c, j) in enumerate(s[:5])]
+    got = [(x.query_id, x.rank, x.vec_id, round(x.score, 9)) for x in ann.search(t, t.where("vec_id in (0, 50, 60, 61, 62, 63)")).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_search_past_a_cluster():
     """A third of the vectors lie in one tight cluster, a query's five neighbours are a little nearer than that."""
     r = np.random.default_rng(5)

@@ -11,15 +11,23 @@ would then have collided often enough, but for about one in ten thousand), or wh
 cover everything: then all the rest is verified and the answer is exact.
 
 Vectors are dealt to blocks by a hash of their id, of a size that fits a task;
-the query set visits every block and a top-k for each query merges the blocks.
+every query visits every block and a top-k for each query merges the blocks.
 So no block depends on how vectors cluster: equal vectors spread over blocks.
+The work is queries times vectors in the worst case, and where vectors have no
+structure at all it is near that: at the distance of a random vector's nearest
+neighbours most of a block lies in the windows. What is copied: a query to each
+block, a block to each set of ASKS queries, for which its arrays are sorted
+once.
 
 Cases: vectors that are null, of length zero, or hold null or non-finite
 components take no part (neither as query nor as candidate), nor do rows with
-a null id. Vectors of another dimension than the query's are not its
-candidates. Ties of score go to the smaller id. Repeated ids are separate rows
-(a row is no candidate of a query with its own id). Fewer than k candidates:
-all are returned. An empty table gives no rows. Other columns are ignored.
+a null id. Very small and very large components are scaled by a power of two
+first, which changes no cosine. Vectors of another dimension than the query's
+are not its candidates. Ties of score go to the smaller id. Repeated ids are
+separate rows: each row asks for itself, and only that row is no candidate of
+it; rows that repeat id and vector get the same answers. Fewer than k
+candidates: all are returned. An empty table gives no rows. Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -40,8 +48,8 @@ THRESHOLD = 38
 WIDTH = 0.5
 #: A query stops at a radius of so many times the distance of its k-th best: with 64 directions, a vector at that distance has 50 collisions, give or take 3.3.
 MARGIN = 1.25
-#: Vectors of a block.
-BLOCK = 16_384
+#: Vectors of a block, and queries that visit one copy of it.
+BLOCK, ASKS = 16_384, 8192
 
 
 def directions(dim: int, m: int, seed: int) -> np.ndarray:
@@ -54,11 +62,19 @@ def cosine(x: np.ndarray, norms: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.einsum("ij,j->i", x, q) / (norms * np.sqrt(np.einsum("i,i->", q, q)))
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each row times a power of two that brings its largest component to 0.5 to 1, so squares neither vanish nor overflow."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(-1, keepdims=True))[1])
+
+
 class Index:
-    """The sorted single-projection arrays of one block."""
+    """The sorted single-projection arrays of one block. `rows` tells rows of the same id apart, `times` says how often each occurs."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, m: int = DIRECTIONS, seed: int = 11):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, m: int = DIRECTIONS, seed: int = 11, rows: np.ndarray | None = None, times: np.ndarray | None = None):
+        vectors = scaled(vectors)
         self.ids, self.vectors = ids, vectors
+        self.rows = np.zeros(len(ids), np.int64) if rows is None else rows
+        self.times = np.ones(len(ids), np.int64) if times is None else times
         self.unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         self.a = directions(vectors.shape[1], m, seed)
         projected = self.unit @ self.a.T
@@ -67,14 +83,17 @@ class Index:
         self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32).copy()
         self.sorted = np.sort(projected, axis=0).T.copy()
 
-    def search(self, own: int, q: np.ndarray, k: int, threshold: int = THRESHOLD, width: float = WIDTH, margin: float = MARGIN) -> list[tuple[int, float]]:
+    def search(self, own: int, q: np.ndarray, k: int, threshold: int = THRESHOLD, width: float = WIDTH, margin: float = MARGIN, row: int = 0) -> list[tuple[int, float]]:
+        """The k nearest (or fewer, if there are no more) of a query, which is the row `row` of the id `own`."""
         n, m = len(self.ids), len(self.a)
+        q = scaled(q)
         centre = self.a @ (q / np.linalg.norm(q))
         counts = np.zeros(n, np.int16 if m < 1 << 15 else np.int32)
         low = np.array([np.searchsorted(self.sorted[j], centre[j]) for j in range(m)])
         high = low.copy()
         verified = np.zeros(n, bool)
-        verified[self.ids == own] = True  # the query's own rows are no candidates
+        mine = (self.ids == own) & (self.rows == row)
+        verified[mine & (self.times == 1)] = True  # the query's own row is no candidate
         found_at: list[np.ndarray] = []
         found_by: list[np.ndarray] = []
         top = np.zeros(0)  # the k best scores so far
@@ -106,7 +125,8 @@ class Index:
             return []
         at, by = np.concatenate(found_at), np.concatenate(found_by)
         best = np.lexsort((self.ids[at], -by))[:k]
-        return [(int(self.ids[at[i]]), float(by[i])) for i in best]
+        left = self.times - mine
+        return [(int(self.ids[at[i]]), float(by[i])) for i in best for _ in range(min(int(left[at[i]]), k))][:k]
 
 
 def usable(vector: Column) -> Column:
@@ -116,44 +136,57 @@ def usable(vector: Column) -> Column:
 
 def _searcher(k: int, m: int, seed: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def columns(t: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-            c = t.column("v")
-            c = c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
-            ids = t.column("vec_id").to_numpy(zero_copy_only=False) if not isinstance(t, pa.Table) else t.column("vec_id").to_numpy()
-            return ids, c.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), -1)
+        def column(t: pa.Table, name: str) -> np.ndarray:
+            return t.column(name).to_numpy()
 
         for _, table in common.sorted_groups(batches, "block"):
-            asked = table.column("asks").to_numpy()
-            ids, vectors = columns(table)
+            asked = column(table, "asks")
+            flat = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            ids, rows, times, vectors = column(table, "vec_id"), column(table, "row"), column(table, "times"), flat.astype(np.float64).reshape(len(asked), -1)
             data = ~asked
-            if not data.any():
+            if not data.any() or not asked.any():
                 continue
-            index = Index(ids[data], vectors[data], m, seed)
-            rows = [(int(q), v, s) for q, x in zip(ids[asked], vectors[asked], strict=True) for v, s in index.search(int(q), x, k)]
-            if rows:
-                q, v, s = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "vec_id", "score"])
+            index = Index(ids[data], vectors[data], m, seed, rows[data], times[data])
+            found = [(int(i), int(r), v, s) for i, r, x in zip(ids[asked], rows[asked], vectors[asked], strict=True) for v, s in index.search(int(i), x, k, row=int(r))]
+            if found:
+                i, r, v, s = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(r, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "row", "vec_id", "score"])
 
     return run
 
 
+def _told_apart(vectors: DataFrame) -> DataFrame:
+    """vec_id, v, row (tells rows of an id apart) and times (rows of this id and vector). Where all ids differ, nothing is shuffled for it; the result is the same."""
+    total, ids = vectors.agg(F.count("*"), F.countDistinct("vec_id")).first()
+    if total == ids:
+        return vectors.select("vec_id", "v", F.lit(0).cast("long").alias("row"), F.lit(1).cast("long").alias("times"))
+    return vectors.groupBy("vec_id", "v").agg(F.count("*").alias("times")).select("vec_id", "v", F.xxhash64("v").alias("row"), "times")
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK, m: int = DIRECTIONS, seed: int = 11) -> DataFrame:
-    """The k nearest found for every query: query_id, rank, vec_id, score. Both tables hold vec_id and v, an array of double.
+    """The k nearest found for every query: query_id, rank, vec_id, score. Both tables hold vec_id and v, an array of double; queries are rows of vectors.
 
     Queries are themselves in sub-blocks by hash, so a task holds one block of vectors and one of queries.
     """
-    sizes = vectors.agg(F.count("*")).first()[0]
-    asks = queries.agg(F.count("*")).first()[0]
-    blocks, parts = max(1, -(-sizes // block)), max(1, -(-asks // 1024))
+    data, asks = _told_apart(vectors), _told_apart(queries)
+    sizes, n = data.agg(F.count("*")).first()[0], asks.agg(F.count("*")).first()[0]
+    blocks = max(1, -(-sizes // block))
+    # a table of few blocks has its queries dealt to more tasks, as far as there are cores
+    parts = max(1, -(-n // ASKS), min(-(-n // 128), -(-data.sparkSession.sparkContext.defaultParallelism // blocks)))
     salt = F.xxhash64(F.col("vec_id"), F.lit(seed))
-    group = lambda b, p: (b * F.lit(parts) + p).cast("long")
-    width = F.size("v").alias("dim")
-    data = vectors.select("vec_id", "v", width, F.pmod(salt, F.lit(blocks)).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("p"), F.lit(False).alias("asks"))
-    ask = queries.select("vec_id", "v", width, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), F.pmod(salt, F.lit(parts)).alias("p"), F.lit(True).alias("asks"))
-    both = data.unionByName(ask).select("vec_id", "v", "asks", (F.xxhash64(group(F.col("b"), F.col("p")), "dim")).alias("block"))
-    found = both.repartition(max(blocks * parts, 1), "block").sortWithinPartitions("block", "asks", "vec_id").mapInArrow(_searcher(k, m, seed), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    data = data.select("*", F.lit(False).alias("asks"), F.pmod(salt, F.lit(blocks)).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("p"))
+    ask = asks.select("*", F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), F.pmod(salt, F.lit(parts)).alias("p"))
+    group = F.xxhash64((F.col("b") * F.lit(parts) + F.col("p")).cast("long"), F.size("v"))
+    both = data.unionByName(ask).select("vec_id", "v", "row", "times", "asks", group.alias("block"))
+    found = both.repartition(max(blocks * parts, 1), "block").sortWithinPartitions("block", "asks", "vec_id").mapInArrow(_searcher(k, m, seed), "query_id long, row long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "row").orderBy(F.col("score").desc(), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    again = asks.where("times > 1").select(F.col("vec_id").alias("_id"), F.col("row").alias("_row"), "times")
+    if again.isEmpty():
+        return best.select("query_id", "rank", "vec_id", "score")
+    times = F.coalesce(F.col("times"), F.lit(1)).cast("int")
+    best = best.join(again, (best.query_id == again._id) & (best.row == again._row), "left")
+    return best.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select("query_id", "rank", "vec_id", "score")
 
 
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

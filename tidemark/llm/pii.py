@@ -8,20 +8,21 @@ Base spans are the leftmost non-overlapping matches of one pattern per kind
 (email, ip, card, phone) that pass the kind's test. Generators of high recall
 then propose overlapping candidates on the text with the base spans masked;
 boosted trees score each from its format and its context; candidates at or
-above their kind's calibrated threshold are kept, of overlapping ones the one
-with the higher score.
+above their kind's calibrated threshold are kept, of overlapping ones by their
+score: a candidate goes only if it overlaps a kept one of a higher score (or an
+equal one that starts before it).
 
 Cases: a null or empty text has no spans. Repeated rows get equal results.
 Other columns pass through; result columns named like input columns replace
-them. An empty table gives an empty result. Patterns are written so that very
-long runs of one character class take linear time.
+them. An empty table gives an empty result. Very long texts take time in
+proportion to their length and spans: patterns don't step back over long runs,
+arrays are built in blocks, and the text is cut from pieces of fixed length.
 """
 
 from __future__ import annotations
 
 import json
 import random
-from functools import cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,12 +46,12 @@ HINT = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 #: High-recall generators: (kind, pattern).
 GENERATORS = (
     ("email", r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,64}+\s?(?:@|\(at\)|\[at\]|\{at\})\s?[\p{L}0-9-]{1,63}+(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?[\p{L}0-9-]{1,63}+){1,6}"),
-    ("ip", r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"),
+    ("ip", r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}))(?![0-9A-Za-z:])"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[\x20./-]{1,2}[0-9]{4}){2}[\x20./-]{1,2}[0-9]{3,7}(?![0-9])"),
     ("phone", r"(?<![0-9A-Za-z(])(?:00[1-9][0-9]{0,2}[\x20.-]?)?[(]?[0-9]{2,4}[)]?(?:[\x20./-]{1,3}[0-9]{2,4}){2,4}(?![0-9A-Za-z])"),
 )
 #: Documents without any of these can hold no candidate.
-CANDIDATE_HINT = r"[0-9][\x20./)-]|[0-9A-Fa-f]:[0-9A-Fa-f]|@|[\[({]at[\])}]"
+CANDIDATE_HINT = r"[0-9][\x20./)-]|[0-9A-Fa-f:]:[0-9A-Fa-f]|@|[\[({]at[\])}]"
 
 CONTEXT = {
     "email": r"(?i)(?:e-?mail|mail|contact|write|courriel|correo|kontakt)\W{0,4}(?:\w{1,4}\W{0,3})?$",
@@ -59,7 +60,61 @@ CONTEXT = {
     "phone": r"(?i)(?:phone|tel|call|fax|mobile|cell|dial|ring|telefon|t.l.phone|tel.fono)\W{0,4}(?:\w{1,4}\W{0,3})?$",
 }
 AGAINST = r"(?i)(?:version|isbn|issn|order|invoice|sku|ref|page|date|room|build|part|serial|score|id|no|nr|total)\W{0,4}$"
-FEATURES = ("kind", "length", "digits", "groups", "first_group", "last_group", "luhn", "parens", "dots", "zeros", "words_at", "told", "against", "glued", "labels", "octets")
+FEATURES = ("kind", "length", "digits", "groups", "first_group", "last_group", "luhn", "parens", "dots", "zeros", "words_at", "told", "against", "glued", "labels", "octets", "double", "letters")
+SPAN = "struct<start:int,k:int,end:int,m:string,before:string,after:string>"
+#: Elements of a block of `scan`, and characters of a piece of a text.
+STEP, PIECE = 64, 1024
+
+
+def _let(value: Column, body) -> Column:  # noqa: ANN001
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _range(items: Column, start: Column, end: Column) -> Column:
+    """The elements from start to end (exclusive), in time of their number (slice would copy the whole array first)."""
+    return F.when(end > start, F.transform(F.sequence(start.cast("int"), end.cast("int") - 1), lambda i: F.get(items, i))).otherwise(F.filter(items, lambda _: F.lit(False)))
+
+
+def scan(items: Column, start: Column, step, out: str, last=None) -> Column:  # noqa: ANN001
+    """What step emits along an array: step(state, item) is a struct (state, out), out an array; `last` gives what the final state emits.
+
+    Whatever an aggregate carries is copied for every element. So blocks of STEP
+    elements are gone through twice: first for the state each begins with, then
+    each for what it emits.
+    """
+    none = F.array().cast(f"array<{out}>")
+    last_block = lambda a: F.floor((F.greatest(F.size(a), F.lit(1)) - 1) / STEP).cast("int")
+    blocks = _let(items, lambda a: F.transform(F.sequence(F.lit(0), last_block(a)), lambda b: _range(a, b * STEP, F.least(b * STEP + STEP, F.size(a)))))
+
+    def ahead(s: Column, block: Column) -> Column:
+        after = F.aggregate(block, s["now"], lambda state, x: step(state, x)["state"])
+        return F.struct(after.alias("now"), F.concat(s["begun"], F.array(s["now"])).alias("begun"))
+
+    def emitted(state: Column, block: Column) -> Column:
+        zero = F.struct(state.alias("state"), none.alias("out"))
+        more = lambda s, r: F.struct(r["state"].alias("state"), F.concat(s["out"], r["out"]).alias("out"))
+        return F.aggregate(block, zero, lambda s, x: F.aggregate(F.array(step(s["state"], x)), s, more), lambda s: s["out"])
+
+    def gone_through(all_blocks: Column) -> Column:
+        begun = F.aggregate(all_blocks, F.struct(start.alias("now"), F.filter(F.array(start), lambda _: F.lit(False)).alias("begun")), ahead)
+        parts = lambda s: F.transform(F.arrays_zip(s["begun"].alias("s"), all_blocks.alias("b")), lambda z: emitted(z["s"], z["b"]))
+        return _let(begun, lambda s: F.flatten(F.concat(parts(s), F.array(last(s["now"])))) if last else F.flatten(parts(s)))
+
+    return _let(blocks, gone_through)
+
+
+def pieces(text: Column) -> Column:
+    """The text in pieces of PIECE characters."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def cut(parts: Column, start: Column, end: Column) -> Column:
+    """The text between two positions, from its pieces: only those that it touches are read."""
+    a, b = F.floor(start / PIECE).cast("int"), F.floor(end / PIECE).cast("int")
+    one = F.substring(F.coalesce(F.get(parts, a), F.lit("")), start % PIECE + 1, end - start)
+    head, tail = F.substring(F.coalesce(F.get(parts, a), F.lit("")), start % PIECE + 1, F.lit(PIECE)), F.substring(F.coalesce(F.get(parts, b), F.lit("")), F.lit(1), end % PIECE)
+    return F.when(a == b, one).otherwise(F.concat(head, F.when(b - a > 1, F.array_join(_range(parts, a + 1, b), "")).otherwise(F.lit("")), tail))
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -94,22 +149,21 @@ def _located(kind: str, text: Column, pattern: str, context: bool = False) -> Co
     k = KINDS.index(kind)
     between, found = F.split(text, pattern, -1), _matches(text, pattern)
     pairs = F.arrays_zip(between.alias("gap"), found.alias("m"), F.slice(between, F.lit(2), F.greatest(F.size(between) - 1, F.lit(0))).alias("rest"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,k:int,end:int,m:string,before:string,after:string>>").alias("got"))
 
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gap"])
+    def step(at: Column, pair: Column) -> Column:
+        begin = at + F.length(pair["gap"])
         stop = begin + F.length(pair["m"])
         span = F.struct(
             begin.alias("start"), F.lit(k).alias("k"), stop.alias("end"), pair["m"].alias("m"),
             (F.right(pair["gap"], F.lit(32)) if context else F.lit("")).alias("before"), (F.left(pair["rest"], F.lit(8)) if context else F.lit("")).alias("after"),
         )
-        return F.struct(F.coalesce(stop, state["at"]).alias("at"), F.when(pair["m"].isNull(), state["got"]).otherwise(F.concat(state["got"], F.array(span))).alias("got"))
+        return F.struct(F.coalesce(stop, at).alias("state"), F.when(pair["m"].isNull(), _none()).otherwise(F.array(span)).alias("out"))
 
-    return F.aggregate(pairs, start, step, lambda s: s["got"])
+    return scan(pairs, F.lit(0), step, SPAN)
 
 
 def _none() -> Column:
-    return F.array().cast("array<struct<start:int,k:int,end:int,m:string,before:string,after:string>>")
+    return F.array().cast(f"array<{SPAN}>")
 
 
 def _base(text: Column, kind: str) -> Column:
@@ -118,16 +172,14 @@ def _base(text: Column, kind: str) -> Column:
     return F.when(hint & text.rlike(pattern), F.filter(_located(kind, text, pattern), lambda s: _valid(kind, s["m"]))).otherwise(_none())
 
 
-def _masked(text: Column, spans: Column) -> Column:
-    """The text with the spans' characters replaced one for one. Overlapping spans are masked together."""
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+def _replaced(parts: Column, length: Column, spans: Column, by) -> Column:  # noqa: ANN001
+    """The text with by(span, from, to) in place of each span, from and to being where the part of it lies that no earlier span covers."""
 
-    def step(s: Column, x: Column) -> Column:
-        begin, stop = F.greatest(s["at"], x["start"]), F.greatest(s["at"], x["end"])
-        return F.struct(stop.alias("at"), F.concat(s["parts"], F.array(F.substring(text, s["at"] + 1, begin - s["at"]), F.repeat(F.lit("\u0001"), stop - begin))).alias("parts"))
+    def step(at: Column, x: Column) -> Column:
+        begin, stop = F.greatest(at, x["start"]), F.greatest(at, x["end"])
+        return F.struct(stop.alias("state"), F.array(cut(parts, at, begin), by(x, begin, stop)).alias("out"))
 
-    done = F.aggregate(spans, state, step, lambda s: F.concat(s["parts"], F.array(F.substring(text, s["at"] + 1, F.length(text)))))
-    return F.when(F.size(spans) > 0, F.array_join(done, "")).otherwise(text)
+    return F.array_join(scan(spans, F.lit(0), step, "string", lambda at: F.array(cut(parts, at, F.greatest(at, length)))), "")
 
 
 def _features(c: Column) -> Column:
@@ -144,6 +196,7 @@ def _features(c: Column) -> Column:
         flag(_luhn(digits)), flag(m.rlike("[()]")), F.regexp_count(m, F.lit(r"\.")).cast("double"), flag(m.startswith("00")), flag(m.rlike(r"(?i)[\[({]at[\])}]")),
         flag(told), flag(before.rlike(AGAINST)), flag(before.rlike(r"[\p{L}0-9]$") | after.rlike(r"^[\p{L}0-9]")),
         F.regexp_count(m, F.lit(r"\p{L}+")).cast("double"), F.regexp_count(m, F.lit(":")).cast("double"),
+        flag(F.contains(m, F.lit("::"))), F.regexp_count(m, F.lit(r"\p{L}")).cast("double"),
     )
     return F.struct(c["start"].alias("start"), c["k"].alias("k"), c["end"].alias("end"), c["m"].alias("m"), *[v.alias(n) for v, n in zip(values, FEATURES, strict=True)])
 
@@ -170,9 +223,12 @@ def _synthetic(n: int, seed: int) -> list[dict]:
         elif kind == 0:
             item, cue = r.choice([f"{word()} @ {word()}.{word()}", f"{word()}@{word()} .{word()}", f"{word()} @{word()}. {word().title()}"]), r.choice(["", "", "follow "])
         elif kind == 1 and y:
-            item, cue = ":".join(f"{r.randrange(65536):x}" for _ in range(8)), r.choice(["ip ", "host ", "address ", ""])
+            groups = [f"{r.randrange(65536):x}" for _ in range(8)]
+            if r.random() < 0.5:  # a run of zeros left out
+                groups = groups[: r.randint(1, 4)] + [""] + groups[: r.randint(1, 3)] if r.random() < 0.8 else ["", "", groups[0]]
+            item, cue = ":".join(groups), r.choice(["ip ", "host ", "address ", "from ", "server: ", ""])
         elif kind == 1:
-            item, cue = ":".join(d(2) for _ in range(r.randint(4, 6))), r.choice(["score ", "date ", "", "build "])
+            item, cue = r.choice([":".join(d(2) for _ in range(r.randint(4, 6))), f"{r.choice(['face', 'add', 'Dec', 'a', 'Bad'])}::{r.choice(['bed', 'Add', 'e', 'face', 'b'])}", f"{d(2)}::{d(2)}"]), r.choice(["score ", "date ", "", "build ", "call "])
         elif kind == 2 and y:
             sep = r.choice([".", "/", " - ", ". "])[:2]
             body = d(15)
@@ -239,26 +295,48 @@ def fit(x: np.ndarray, y: np.ndarray, n_trees: int = 24, depth: int = 3, precisi
     return Model(base, forest, tuple(thresholds))
 
 
-@cache
-def model(n: int = 3000, seed: int = 7) -> Model:
-    spark = SparkSession.getActiveSession()
-    assert spark is not None
-    return fit(*training_candidates(spark, n, seed))
+_models: dict[tuple[int, int], Model] = {}
 
 
-def _added(masked: Column, m: Model) -> Column:
-    """Kept candidates, of overlapping ones the higher score (the earlier, if equal)."""
-    scored = F.transform(candidates(masked), lambda c: F.struct(c["start"].alias("start"), c["k"].alias("k"), c["end"].alias("end"), m.margin(c).alias("p")))
-    kept = F.filter(scored, lambda c: c["p"] >= m.threshold(c["k"]))
-    empty = F.array().cast("array<struct<start:int,k:int,end:int,p:double>>")
+def model(spark: SparkSession, n: int = 4000, seed: int = 7) -> Model:
+    """The model of n generated sentences, fitted once a process (its features are computed in this session)."""
+    if (n, seed) not in _models:
+        _models[n, seed] = fit(*training_candidates(spark, n, seed))
+    return _models[n, seed]
+
+
+_SCORED = "struct<start:int,k:int,end:int,p:double>"
+
+
+def chosen(spans: Column) -> Column:
+    """Of spans in order of their start those that overlap none of a higher score that is kept.
+
+    Spans that overlap, directly or through others, form a chain; each chain is
+    gone through by score. So the work is the spans' number, but for long chains.
+    """
+    none = F.array().cast(f"array<{_SCORED}>")
 
-    def step(got: Column, c: Column) -> Column:
-        last = F.element_at(got, -1)
-        clash = (F.size(got) > 0) & (last["end"] > c["start"])
-        better = F.concat(F.slice(got, F.lit(1), F.size(got) - 1), F.array(c))
-        return F.when((F.size(got) > 0) & clash, F.when(c["p"] > last["p"], better).otherwise(got)).otherwise(F.concat(got, F.array(c)))
+    def best(chain: Column) -> Column:
+        ranked = F.transform(F.array_sort(F.transform(chain, lambda c: F.struct((-c["p"]).alias("q"), c["start"].alias("start"), c["k"].alias("k"), c["end"].alias("end")))), lambda c: F.struct(c["start"].alias("start"), c["k"].alias("k"), c["end"].alias("end"), (-c["q"]).alias("p")))
+        clash = lambda got, c: F.exists(got, lambda g: (g["start"] < c["end"]) & (c["start"] < g["end"]))
+        several = F.aggregate(ranked, none, lambda got, c: F.when(clash(got, c), got).otherwise(F.concat(got, F.array(c))))
+        return F.when(F.size(chain) > 1, several).otherwise(chain)
 
-    return F.when(F.size(kept) > 0, F.aggregate(kept, empty, step)).otherwise(empty)
+    def step(s: Column, c: Column) -> Column:
+        ends = F.size(s["chain"]) == 0
+        joins = ~ends & (c["start"] < s["to"])
+        state = F.struct(F.when(joins, F.concat(s["chain"], F.array(c))).otherwise(F.array(c)).alias("chain"), F.when(joins, F.greatest(s["to"], c["end"])).otherwise(c["end"]).alias("to"))
+        return F.struct(state.alias("state"), F.when(joins | ends, none).otherwise(best(s["chain"])).alias("out"))
+
+    start = F.struct(none.alias("chain"), F.lit(0).alias("to"))
+    return F.when(F.size(spans) > 1, scan(spans, start, step, _SCORED, lambda s: best(s["chain"]))).otherwise(spans)
+
+
+def _scored(masked: Column, m: Model) -> Column:
+    """The candidates that reach their kind's threshold, with their margin p."""
+    scored = F.transform(candidates(masked), lambda c: F.struct(c["start"].alias("start"), c["k"].alias("k"), c["end"].alias("end"), m.margin(c).alias("p")))
+    kept = F.filter(scored, lambda c: c["p"] >= m.threshold(c["k"]))
+    return F.coalesce(kept, F.array().cast(f"array<{_SCORED}>"))
 
 
 def _plain(spans: Column) -> Column:
@@ -273,16 +351,19 @@ def listed(spans: Column) -> Column:
 
 def find(df: DataFrame, text: str = "text", use_model: Model | None = None, base: str = "base", every: str = "all") -> DataFrame:
     """Adds base and all (or as named): arrays of struct(start, k, end), code points, end exclusive, k an index of KINDS, sorted by (start, k, end)."""
-    m = use_model or model()
+    m = use_model or model(df.sparkSession)
     clean = F.coalesce(F.col(text), F.lit(""))
     df = df.withColumn("_pii_text", clean)
     t = F.col("_pii_text")
     df = df.withColumns({f"_pii_{k}": _plain(_base(t, k)) for k in KINDS})
     df = df.withColumn(base, F.array_sort(F.concat(*[F.col(f"_pii_{k}") for k in KINDS])))
-    df = df.withColumn("_pii_masked", _masked(t, F.col(base)))
-    df = df.withColumn("_pii_added", _plain(_added(F.col("_pii_masked"), m)))
+    df = df.withColumn("_pii_pieces", F.when(F.size(base) > 0, pieces(t)))
+    hidden = _replaced(F.col("_pii_pieces"), F.length(t), F.col(base), lambda x, a, b: F.repeat(F.lit("\u0001"), b - a))
+    df = df.withColumn("_pii_masked", F.when(F.size(base) > 0, hidden).otherwise(t))
+    df = df.withColumn("_pii_scored", _scored(F.col("_pii_masked"), m))
+    df = df.withColumn("_pii_added", _plain(chosen(F.col("_pii_scored"))))
     df = df.withColumn(every, F.array_sort(F.concat(base, "_pii_added")))
-    return df.drop("_pii_text", "_pii_masked", "_pii_added", *[f"_pii_{k}" for k in KINDS])
+    return df.drop("_pii_text", "_pii_pieces", "_pii_masked", "_pii_scored", "_pii_added", *[f"_pii_{k}" for k in KINDS])
 
 
 def redact(df: DataFrame, text: str = "text", use_model: Model | None = None) -> DataFrame:
@@ -290,16 +371,10 @@ def redact(df: DataFrame, text: str = "text", use_model: Model | None = None) ->
     columns = df.columns
     found = find(df.withColumn("_pii_row", F.col(text)), "_pii_row", use_model, "_pii_base", "_pii_every")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    t = F.col("_pii_row")
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(s: Column, x: Column) -> Column:
-        fresh = F.concat(s["parts"], F.array(F.substring(t, s["at"] + 1, x["start"] - s["at"]), F.element_at(names, x["k"] + 1)))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] >= s["at"], fresh).otherwise(s["parts"]).alias("parts"))
-
-    done = F.aggregate(F.col("_pii_every"), state, step, lambda s: F.concat(s["parts"], F.array(F.substring(t, s["at"] + 1, F.length(t)))))
-    out = F.when(F.size("_pii_every") > 0, F.array_join(done, "")).otherwise(t)
-    return found.withColumn(text, out).select(*columns)
+    t, spans = F.col("_pii_row"), F.col("_pii_every")
+    found = found.withColumn("_pii_cut", F.when(F.size(spans) > 0, pieces(t)))
+    out = _replaced(F.col("_pii_cut"), F.length(t), spans, lambda x, a, b: F.when(x["start"] >= a, F.element_at(names, x["k"] + 1)).otherwise(F.lit("")))
+    return found.withColumn(text, F.when(F.size(spans) > 0, out).otherwise(t)).select(*columns)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
