@@ -33,7 +33,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document as often as it is taken (documents without words, which weigh nothing, once at most)."""
-    sized = common.settle(docs.withColumn("size", mixing.words(F.col("text"))).withColumn("u", common.uniform(mixing.SEED, F.col("doc_id"))).select("doc_id", "source", "size", "u"), "sizes")
+    sized = common.settle(docs.withColumn("size", mixing.words(F.col("text"))).withColumn("u", mixing.draw(F.col("doc_id"), F.col("text"))).select("doc_id", "source", "size", "u"), "sizes")
     copies = mixing.mix(sized).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(F.max("copies").alias("copies"))
     sizes = docs.withColumn("size", mixing.words(F.col("text")))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size"))

@@ -135,7 +135,7 @@ def brute_targets(sizes, weights, total, cap):
 def test_mixing(spark):
     r = random.Random(2)
     rows = [(i, r.choice(["a", "a", "a", "b", "", None, "ä"]), " ".join(["w"] * r.choice([0, 1, 5, 20, 300]))) for i in range(4000)] + [(None, "b", None), (1, "c", "x y"), (1, "c", "x y")]
-    df = spark.createDataFrame([(*x, 7, 8.0) for x in rows], "doc_id long, source string, text string, copies int, target double")
+    df = spark.createDataFrame([(*x, 7, 8.0) for x in rows], "doc_id long, source string, text string, copies int, target double").withColumns({"bin": F.lit("own"), "rank": F.lit(3), "_docs": F.lit(1)})
     sized = common.settle(mixing.sized(df, "doc_id"), "sizes")
     got = mixing.mix(sized).collect()
     assert len(got) == len(rows) and sorted(map(str, got)) == sorted(map(str, mixing.mix(sized).collect()))
@@ -163,6 +163,8 @@ def test_sharding(spark):
     got = sharding.place(df, "doc_id", names, 1009).collect()
     assert len(got) == 101 and all(r.shard == owner[r.slot] for r in got) and len({(r.doc_id, r.shard) for r in got}) == 51
     assert sharding.place(df.limit(0), "doc_id", names, 1009).count() == 0
+    clash = sharding.place(df.select(F.col("doc_id").alias("slot"), "shard"), "slot", names, 1009)
+    assert clash.columns == ["slot", "shard"] and sorted(map(str, clash.collect())) == sorted(str(r) for r in sharding.place(df, "doc_id", names, 1009).select("slot", "shard").collect())
     for bad in (([], 7), (["a", "a"], 7), (["a"], 8), (["a", "b", "c"], 2)):
         with pytest.raises(ValueError):
             sharding.table(*bad)

@@ -523,6 +523,40 @@ def png():
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 1, 1, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"\0\0")) + chunk(b"IEND", b"")
 
 
+def flac(frames=3, block=192):
+    """A valid file: mono, 8 bits, verbatim samples."""
+    import struct
+
+    def crc(data, width, polynomial):
+        c = 0
+        for x in data:
+            c ^= x << (width - 8)
+            for _ in range(8):
+                c = (c << 1 ^ polynomial if c >> (width - 1) else c << 1) & ((1 << width) - 1)
+        return c.to_bytes(width // 8, "big")
+
+    info = struct.pack(">HH", block, block) + b"\0" * 6 + ((8000 << 44) | (0 << 41) | (7 << 36) | frames * block).to_bytes(8, "big") + b"\0" * 16
+    out = b"fLaC\x80" + len(info).to_bytes(3, "big") + info
+    for n in range(frames):
+        head = bytes([0xFF, 0xF8, 0x14, 0x02, n])
+        head += crc(head, 8, 0x07)
+        body = head + b"\x02" + bytes(random.Random(n).randrange(256) for _ in range(block))
+        out += body + crc(body, 16, 0x8005)
+    return out
+
+
+def test_media_of_lengths_and_many_marks():
+    import time
+
+    f = flac()
+    assert media.sniff(f) == ("audio/flac", [(0, len(f), "audio/flac")]) and media.carve(b"ab" + f + b"junk" * 200) == [(2, len(f), "audio/flac")]
+    assert media.carve(f[:-1]) == [] and media.carve(f[:42] + b"junk" * 200) == [] and media.carve(f[:60] + b"\0" + f[61:]) == []
+    pdf = b"%PDF-1.4 a startxref 9 %%EOF b startxref 20 %%EOF"
+    assert media.carve(pdf + b"\n" + pdf) == [(0, len(pdf), "application/pdf"), (len(pdf) + 1, len(pdf), "application/pdf")]
+    began = time.monotonic()
+    assert media.carve(b"%PDF-" * 200_000) == [] and time.monotonic() - began < 10
+
+
 def test_sniffing():
     import gzip
 

@@ -121,21 +121,75 @@ def _bmp(b: memoryview, at: int) -> int:
     return size if zero == 0 and header in (12, 40, 52, 56, 64, 108, 124) and 14 + header <= pixels <= size and at + size <= len(b) else 0
 
 
+def _crc_table(width: int, polynomial: int) -> list[int]:
+    out = []
+    for n in range(256):
+        c = n << (width - 8)
+        for _ in range(8):
+            c = (c << 1 ^ polynomial if c >> (width - 1) else c << 1) & ((1 << width) - 1)
+        out.append(c)
+    return out
+
+
+# The polynomials of FLAC's frame headers and frames, and block sizes by their code.
+_CRC8, _CRC16 = _crc_table(8, 0x07), _crc_table(16, 0x8005)
+_BLOCKS = {1: 192} | {n: 576 << (n - 2) for n in range(2, 6)} | {n: 256 << (n - 8) for n in range(8, 16)}
+
+
+def _flac_header(b: memoryview, p: int) -> tuple[int, int]:
+    """Length of a frame's header and its samples; (0, 0) where none stands."""
+    if p + 6 > len(b) or b[p] != 0xFF or b[p + 1] & 0xFE != 0xF8 or b[p + 3] & 1 or b[p + 3] >> 4 > 10:
+        return 0, 0
+    size, rate, first = b[p + 2] >> 4, b[p + 2] & 15, b[p + 4]
+    lead = 8 - (first ^ 0xFF).bit_length()  # of the coded number, like UTF-8
+    q = p + 5 + (lead - 1 if lead > 1 else 0)
+    if not size or rate == 15 or lead in (1, 8) or q + 5 > len(b):
+        return 0, 0
+    samples = _BLOCKS.get(size, 0)
+    if size in (6, 7):
+        samples, q = int.from_bytes(b[q : q + size - 5], "big") + 1, q + size - 5
+    q += {12: 1, 13: 2, 14: 2}.get(rate, 0)
+    crc = 0
+    for x in b[p:q]:
+        crc = _CRC8[crc ^ x]
+    return (q + 1 - p, samples) if q < len(b) and crc == b[q] else (0, 0)
+
+
 def _flac(b: memoryview, at: int) -> int:
+    """The metadata blocks, then frames up to the number of samples that the first block tells; each frame ends where its checksum comes out and the next begins (or all samples are there)."""
     p = at + 4
     while p + 4 <= len(b):
-        n = int.from_bytes(b[p + 1 : p + 4], "big")
-        if p == at + 4 and (b[p] & 127 or n != 34):
+        n, last = int.from_bytes(b[p + 1 : p + 4], "big"), b[p] & 128
+        if (p == at + 4 and (b[p] & 127 or n != 34)) or p + 4 + n > len(b):
             return 0
         p += 4 + n
-        if b[p - 4 - n] & 128:
-            return len(b) - at if p <= len(b) else 0
-    return 0
+        if last:
+            break
+    else:
+        return 0
+    total, found = int.from_bytes(b[at + 21 : at + 26], "big") & (1 << 36) - 1, 0
+    while found < total:
+        head, samples = _flac_header(b, p)
+        if not head:
+            return 0
+        found, crc, q = found + samples, 0, p
+        while True:
+            if q >= len(b):
+                return 0
+            crc = (crc << 8 & 0xFF00) ^ _CRC16[crc >> 8 ^ b[q]]
+            q += 1
+            if not crc and q >= p + head + 2 and (found >= total or _flac_header(b, q)[0]):
+                break
+        p = q
+    return p - at if total else 0
 
 
 def _pdf(b: memoryview, at: int) -> int:
-    end = bytes(b[at:]).find(b"%%EOF")
-    return end + 5 if end > 0 and b"startxref" in bytes(b[at : at + end]) else 0
+    """Up to the last end mark before the next file begins."""
+    value = b.obj
+    follows = value.find(b"%PDF-", at + 5)
+    end = value.rfind(b"%%EOF", at, follows if follows >= 0 else len(value))
+    return end + 5 - at if end > 0 and value.rfind(b"startxref", at, end) > 0 else 0
 
 
 def _gzip(b: memoryview, at: int) -> int:
@@ -266,11 +320,12 @@ def digest(media: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for x in batch.to_pylist():
+            for i in range(batch.num_rows):  # one value at a time as Python objects
+                x = batch.slice(i, 1).to_pylist()[0]
                 samples = from_wav(x["media"])
                 level = np.frombuffer(samples, np.uint8)
                 crossings = int(np.count_nonzero(np.diff(level >= 128)))
-                inside = [i["type"] for i in x["items"] if i["offset"]]
+                inside = [item["type"] for item in x["items"] if item["offset"]]
                 feature = f"{x['media_type']};declared={x['declared'] or ''};corrected={int(x['corrected'])};u8;{RATE}Hz;samples={len(samples)};peak={int(level.max())};sum={int(level.sum(dtype=np.int64))};crossings={crossings};carved={'+'.join(inside)}"
                 rows.append((x["doc_id"], x["n_bytes"], len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-64:]), len(x["media"]), hashlib.sha256(x["media"]).hexdigest(), feature))
             if rows:

@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import pickle
 import uuid
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -396,7 +395,7 @@ def _answerer(shared):  # noqa: ANN001, ANN202
             for chunk, a in zip(table.column("chunk"), asked, strict=True):
                 own, _ = _unpacked(a.as_py())
                 logs = p[np.searchsorted(code, own)]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int64()), pa.array([_packed(own)], pa.binary()), pa.array([zlib.compress(logs.tobytes(), 1)], pa.binary())], names=["chunk", "text", "logs"])
+                yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int64()), pa.array([_packed(own)], pa.binary()), pa.array([_squeezed(logs)], pa.binary())], names=["chunk", "text", "logs"])
 
     return run
 
@@ -426,18 +425,33 @@ def dense(code: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _squeezed(a: np.ndarray) -> bytes:
+    """The array's bytes, all first bytes before all second ones and so on, compressed."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) else b"")
+
+
+def _opened(data: bytes, kind: type) -> np.ndarray:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).reshape(-1) if raw else np.zeros(0, kind)
+
+
 def _packed(*arrays: np.ndarray) -> bytes:
     """Arrays of whole numbers, compressed: sorted ones as differences."""
     parts = []
     for a in arrays:
         a = a.astype(np.int64)
         rising = bool(len(a) and (np.diff(a) >= 0).all())
-        parts.append((rising, zlib.compress((np.diff(a, prepend=0) if rising else a).tobytes(), 1)))
+        parts.append((rising, _squeezed(np.diff(a, prepend=0) if rising else a)))
     return pickle.dumps(parts)
 
 
 def _unpacked(data: bytes) -> list[np.ndarray]:
-    return [np.cumsum(a) if rising else a for rising, raw in pickle.loads(data) for a in [np.frombuffer(zlib.decompress(raw), np.int64)]]
+    return [np.cumsum(a) if rising else a for rising, raw in pickle.loads(data) for a in [_opened(raw, np.int64)]]
 
 
 _logs: tuple[str, dict[bytes, float]] | None = None
@@ -464,7 +478,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             if chunks[a] != current:
                 current, held, code = chunks[a], [], None
             if not is_text[a]:
-                held += [(_unpacked(g)[0], np.frombuffer(zlib.decompress(p), np.float64)) for g, p in zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)]
+                held += [(_unpacked(g)[0], _opened(p, np.float64)) for g, p in zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)]
                 continue
             if code is None:
                 code, logs = np.concatenate([c for c, _ in held]), np.concatenate([p for _, p in held])

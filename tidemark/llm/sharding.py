@@ -11,7 +11,7 @@ a parameter and not by the data, and is broadcast; placing a row is one hash
 and one probe.
 
 Cases: a null key hashes like ''. Equal keys (repeated rows) go to one shard.
-A column named like a result column is replaced. An empty table gives an
+A column named like a result column is replaced (the key's too, once it is hashed). An empty table gives an
 empty result.
 """
 
@@ -64,8 +64,9 @@ def place(df: DataFrame, key: str, shards: Sequence[str], slots: int = SLOTS) ->
     """The table with slot and shard (an index into shards)."""
     owner = json.dumps(table(shards, slots))
     lookup = df.sparkSession.range(1).select(F.posexplode(F.from_json(F.lit(owner), "array<int>")).alias("slot", "shard"))
-    rows = df.drop("slot", "shard") if {"slot", "shard"} & set(df.columns) - {key} else df
-    return rows.withColumn("slot", slot(F.col(key), slots)).join(F.broadcast(lookup), "slot", "left").select(*[c for c in rows.columns if c != "slot"], "slot", "shard")
+    rest = [c for c in df.columns if c not in ("slot", "shard")]
+    rows = df.withColumn("_slot", slot(F.col(key), slots)).select(*rest, F.col("_slot").alias("slot"))
+    return rows.join(F.broadcast(lookup), "slot", "left").select(*rest, "slot", "shard")
 
 
 def write(df: DataFrame, key: str, shards: Sequence[str], path: str, slots: int = SLOTS) -> None:
