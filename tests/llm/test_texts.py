@@ -442,6 +442,21 @@ def test_pieces_split_every_occurrence_anew():
     assert len(set(plain[::3])) > 5
 
 
+def test_pieces_many_agendas_at_once():
+    """Agendas in arrays against one part after another, around every width, with characters of no piece, at any dropout."""
+    proto = pieces.model_bytes(pieces.default_model())
+    r = random.Random(8)
+    words = ["".join(r.choice("etaoinshré1.\n日😀\x00") for _ in range(n)) for n in range(1, 70) for _ in range(3)]
+    text = " ".join(words) + "  two  ▁ \ud800"
+    for dropout in (0.0, 0.1, 0.6, 1.0):
+        c = pieces.Codec(proto, dropout, 3)
+        parts, (draws, _) = c._parts(text), c._drawn(len(c._parts(text)), 5)
+        want = [c._merged(pieces._whole(p), c._gaps(int(d)))[1] for p, d in zip(parts, draws, strict=True)]
+        assert c.encode(text, 5).tobytes() == b"".join(want)
+        both = c.encode_all(["", text, "a", text], [1, 5, 2, 5])
+        assert len(both[0]) == 0 and both[1].tobytes() == both[3].tobytes() == b"".join(want)
+
+
 def test_lasso_rules_and_columns(spark):
     r = np.random.default_rng(1)
     x = r.random((600, len(quality.STATS)))
