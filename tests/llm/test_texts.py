@@ -509,6 +509,22 @@ def test_kernel_is_brute_force():
     assert "idiot" in toxicity.tokens("you i d i o t now") and toxicity.tokens("") == set()
 
 
+def test_kernel_of_long_and_gapped_tokens():
+    """An insult counts wherever it lies in a long token, and however many signs part its letters."""
+    insult = "blockheaded"
+    table = toxicity.fold([insult], np.ones(1))
+    alone = toxicity.values([insult, "i--d--i--o--t"], table)[0]
+    for at in range(40):
+        word = "q" * at + insult + "z" * (40 - at)
+        best = max(brute_kernel("q" * a + insult + "z" * b, insult) for a in range(4) for b in range(4) if a <= at and b <= 40 - at and a + b == 3)
+        assert np.isclose(toxicity.values([word], table)[0], best, atol=1e-4) and 0.5 < best <= alone
+    gapped = toxicity.values(["i--d--i--o--t", "i-d-i-o-t", "notion"], toxicity.fold(["idiot"], np.ones(1)))
+    assert gapped[0] == gapped[1] > gapped[2]
+    assert "".join(p[:7] for p in toxicity.parts("abcdefg" * 5)) == "abcdefg" * 4 and toxicity.parts("short") == ["short"]
+    # a very long token needs memory for a bounded number of windows only
+    assert toxicity.values(["q" * 100_000 + insult], table)[0] > 0.5
+
+
 def test_toxicity_held_out(spark):
     d, l = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(d, l, toxicity.held_out(F.col("doc_id")))

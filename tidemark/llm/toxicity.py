@@ -1,8 +1,8 @@
 """Toxicity: a subsequence string-kernel support vector machine with Nystroem landmarks.
 
 The kernel compares tokens by their subsequences of 3 and 4 letters within a
-span of SPAN characters, each gap character costing a factor DECAY; other
-characters than letters count as gaps. So "id.iot" and "idxiot" stay close to
+span of SPAN characters, each gap character costing a factor DECAY; a run of
+other characters than letters counts as one gap character. So "id.iot" and "idxiot" stay close to
 "idiot". A sentence's value is the largest of its tokens (letters spelled out
 with spaces are joined to a token first), a document's the largest of its
 sentences.
@@ -22,7 +22,8 @@ Cases: a null or empty text scores as a text without tokens (the lowest).
 Null labels do not train; of repeated labels of an id the smallest counts.
 Without both classes among the labels the score is the smoothed share of
 label 1 (0.5 without any). Equal texts have equal scores. Long tokens are
-scored in overlapping windows, whole. Other columns pass through; input
+scored whole, in every window of WINDOW letters, a bounded number at once;
+long landmarks are cut into windows of that size. Other columns pass through; input
 columns named like result columns are replaced. An empty table gives an empty
 result.
 """
@@ -33,7 +34,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +48,12 @@ from tidemark.llm.quality import labelled
 SAMPLE = 20_000
 CUT = 0.3
 DECAY, SPAN = 0.5, 6
-WINDOW, STRIDE = 14, 6
+WINDOW = 14
 LETTERS = 32
 #: Tokens brought to the driver to fit, at most, of either class, and landmarks.
 TOKENS, LANDMARKS = 3000, 128
+#: Characters of a token that is used to fit, at most (longer ones are scored, not learnt from).
+LONGEST = 200
 #: Witnesses whose variants train.
 BENT = 24
 #: Values of tokens that a worker remembers, at most.
@@ -62,11 +65,13 @@ _SPELLED = re.compile(r"(?:(?<=\s)|^)(?:\w[\s.*_-]{1,2}){3,}\w(?=\W|$)")
 
 
 def spell(token: str) -> list[int]:
-    """Letters as 0..31 (other alphabets folded to 6 codes), other characters as -1."""
-    out = []
+    """Letters as 0..31 (other alphabets folded to 6 codes), a run of other characters as one -1."""
+    out: list[int] = []
     for c in token:
         o = ord(c)
-        out.append(o - 97 if 97 <= o < 123 else 26 + o % 6 if o > 127 and c.isalpha() else -1)
+        letter = o - 97 if 97 <= o < 123 else 26 + o % 6 if o > 127 and c.isalpha() else -1
+        if letter >= 0 or not out or out[-1] >= 0:
+            out.append(letter)
     return out
 
 
@@ -80,14 +85,21 @@ def tokens(text: str) -> set[str]:
     return out
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Subsequence codes (-1: none) and weights, one row a window, and the word that each window is of. Rows have norm 1 (or 0)."""
-    owner, windows = [], []
+def _windows(words: list[str]) -> Iterator[tuple[int, list[int]]]:
+    """Each word's windows, whole and overlapping by all but one letter, with the word's place."""
     for i, w in enumerate(words):
         s = spell(w)
-        for at in range(0, max(1, len(s) - WINDOW + STRIDE), STRIDE) if len(s) > WINDOW else (0,):
-            windows.append(s[at : at + WINDOW])
-            owner.append(i)
+        for at in range(max(1, len(s) - WINDOW + 1)):
+            yield i, s[at : at + WINDOW]
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Subsequence codes (-1: none) and weights, one row a window, and the word that each window is of. Rows have norm 1 (or 0)."""
+    return _features(list(_windows(words)))
+
+
+def _features(owned: list[tuple[int, list[int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    owner, windows = [i for i, _ in owned], [s for _, s in owned]
     grid = np.full((len(windows), WINDOW + SPAN), -1, np.int32)
     for i, s in enumerate(windows):
         grid[i, : len(s)] = s
@@ -145,9 +157,11 @@ def values(words: list[str], table: np.ndarray) -> np.ndarray:
     if not words:
         return np.zeros(0)
     out = np.full(len(words), -np.inf)
-    for at in range(0, len(words), 4096):
-        codes, weights, owner = features(words[at : at + 4096])
-        np.maximum.at(out, owner + at, (table[np.maximum(codes, 0)] * weights).sum(1))
+    windows = _windows(words)
+    # by windows, not by words: a long token has as many as letters
+    while some := list(islice(windows, 4096)):
+        codes, weights, owner = _features(some)
+        np.maximum.at(out, owner, (table[np.maximum(codes, 0)] * weights).sum(1))
     return out
 
 
@@ -180,6 +194,13 @@ class Scorer:
         return np.array([max(map(self.seen.__getitem__, o), default=-1.0) for o in own])
 
 
+def parts(word: str) -> list[str]:
+    """A landmark in pieces of WINDOW characters, the last one up to its end; they overlap if need be."""
+    if len(word) <= WINDOW:
+        return [word]
+    return [word[i : i + WINDOW] for i in [*range(0, len(word) - WINDOW, WINDOW // 2), len(word) - WINDOW]]
+
+
 def variants(word: str) -> list[str]:
     """The word with a letter inserted, or a letter covered, at each inner place (words of five letters or more)."""
     if len(word) < 5 or len(word) > WINDOW - 1:
@@ -281,7 +302,7 @@ def train(df: DataFrame, labels: DataFrame, skip: Column, bound: int = SAMPLE) -
     if len(n) < 2:
         p = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1.0)
         return Model(None, 0.0, 0.0, float(np.log(p / (1 - p))))
-    counts = common.settle(_counts(sample).where("pos + neg >= 1"), "tokens")
+    counts = common.settle(_counts(sample).where((F.col("pos") + F.col("neg") >= 1) & (F.length("token") <= LONGEST)), "tokens")
     odds = F.log((F.col("pos") + 0.5) / (n[1] + 1)) - F.log((F.col("neg") + 0.5) / (n[0] + 1))
     leading = [r.token for r in counts.where((F.col("pos") >= 3) & (odds > 2)).orderBy(odds.desc(), "token").limit(TOKENS).collect()]
     witnesses = _witnesses(sample, {w: i for i, w in enumerate(leading)}).where("n >= 2")
@@ -302,7 +323,7 @@ def train(df: DataFrame, labels: DataFrame, skip: Column, bound: int = SAMPLE) -
     table = bias = None
     for _ in range(3):
         landmarks = good[:LANDMARKS] + [negatives[i] for i in np.linspace(0, len(negatives) - 1, min(LANDMARKS, len(negatives))).astype(int)]
-        landmarks = list(dict.fromkeys(landmarks))
+        landmarks = list(dict.fromkeys(p for w in landmarks for p in parts(w)))
         gram = kernel(landmarks, landmarks).astype(float)
         lam, vec = np.linalg.eigh((gram + gram.T) / 2)
         keep = lam > 1e-6 * lam.max()
