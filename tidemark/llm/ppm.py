@@ -235,12 +235,28 @@ def summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes in order with the sums of their counts."""
     if not len(code):
         return code, n
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)
     code, n = code[order], n[order]
     first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
     return code[first], np.add.reduceat(n, first)
 
 
+def learnt_paths(path: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct paths in order, and how often each was learnt. Path and mark are one number, so values are sorted, not places."""
+    marked = np.sort(path << 1 | learnt)
+    path = marked >> 1
+    first = np.flatnonzero(np.append(True, path[1:] != path[:-1]))
+    return path[first], np.add.reduceat(marked & 1, first)
+
+
+def _block(part: pa.RecordBatch) -> bytes:
+    """The batch, compressed."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(part)
+    return out.getvalue().to_pybytes()
+
+
 def _at(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """The values of the asked keys, 0 for those that are not among the (sorted) keys."""
     if not len(keys):
@@ -314,14 +330,14 @@ def adaptive(text: bytes, order: int = ORDER) -> float:
     return out
 
 
-_PARTS = "kind int, chunk long, bucket int, doc_id long, held_out boolean, word binary, code long, n long"
+_PARTS = "kind int, chunk long, bucket int, word binary, code long, n long"
 
 
 def _learner(buckets: int):  # noqa: ANN202
-    """Counts of words (kind 0), packed paths of a chunk in a bucket with their training counts (1), training counts of paths of DEALT bytes (2), and the texts with their chunk (3)."""
+    """Counts of words (kind 0), packed paths of a chunk in a bucket with their training counts (1), training counts of paths of DEALT bytes (2), and blocks of rows, compressed, with their chunk (3)."""
 
     def rows(kind: int, size: int, **columns) -> pa.RecordBatch:  # noqa: ANN003
-        types = {"chunk": pa.int64(), "bucket": pa.int32(), "doc_id": pa.int64(), "held_out": pa.bool_(), "word": pa.binary(), "code": pa.int64(), "n": pa.int64()}
+        types = {"chunk": pa.int64(), "bucket": pa.int32(), "word": pa.binary(), "code": pa.int64(), "n": pa.int64()}
         given = {name: pa.array(columns[name], t) if name in columns else pa.nulls(size, t) for name, t in types.items()}
         return pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int32)), *given.values()], names=["kind", *given])
 
@@ -355,9 +371,8 @@ def _learner(buckets: int):  # noqa: ANN202
             data, begin, end = layout(texts)
             use = coded(begin, end, len(data) - LONG)
             path = byte_paths(data)[use]
-            learnt = np.repeat(~held, end + 1 - begin)
-            grams.append(summed(path, learnt.astype(np.int64)))
-            yield rows(3, len(texts), chunk=np.full(len(texts), chunk), doc_id=part.column(0), held_out=part.column(2), word=texts)
+            grams.append(learnt_paths(path, np.repeat(~held, end + 1 - begin)))
+            yield rows(3, 1, chunk=[chunk], word=[_block(part)])
             size += len(data)
             if sum(len(c) for c, _ in grams) > 2_000_000:
                 grams = [summed(np.concatenate([c for c, _ in grams]), np.concatenate([n for _, n in grams]))]
@@ -466,26 +481,27 @@ def _word_logs(tag: str, words: list[bytes], counts: list[int]) -> dict[bytes, f
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], np.ndarray, np.ndarray]]:
-    """Slices of the texts with the paths and logarithms of their chunk, whose answers come before its texts."""
+    """Slices of the rows (doc_id, text, held_out) with the paths and logarithms of their chunk, whose answers come before its blocks."""
     current, held, code, logs = None, [], None, None
     for batch in batches:
         if not batch.num_rows:
             continue
-        chunks, is_text = batch.column(3).to_numpy(), batch.column(1).to_numpy()
+        chunks, is_text = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         edges = np.flatnonzero(np.append(True, (chunks[1:] != chunks[:-1]) | (is_text[1:] != is_text[:-1])))
         for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(chunks)], strict=True):
             part = batch.slice(a, b - a)
             if chunks[a] != current:
                 current, held, code = chunks[a], [], None
             if not is_text[a]:
-                held += [(_unpacked(g)[0], _opened(p, np.float64)) for g, p in zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)]
+                held += [(_unpacked(g)[0], _opened(p, np.float64)) for g, p in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
                 continue
             if code is None:
                 code, logs = np.concatenate([c for c, _ in held]), np.concatenate([p for _, p in held])
                 order = np.argsort(code)
                 code, logs, held = code[order], logs[order], []
-            for rows, texts in common.text_chunks([part], "text", 1 << 20):
-                yield rows, texts, code, logs
+            for block in part.column(2):
+                for rows, texts in common.text_chunks(pa.ipc.open_stream(block.as_buffer()), "text", 1 << 20):
+                    yield rows, texts, code, logs
 
 
 def train_is(column):  # noqa: ANN001, ANN201
@@ -515,10 +531,10 @@ def score(docs: DataFrame, hot: int = HOT) -> DataFrame:
     del words, times
     asked = parts.where("kind = 1").select("bucket", "chunk", "word").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     answers = asked.mapInArrow(_answerer(short), "chunk long, text binary, logs binary")
-    texts = parts.where("kind = 3").select("chunk", "doc_id", "held_out", F.col("word").alias("text"))
+    texts = parts.where("kind = 3").select("chunk", F.col("word").alias("text"))
     both = texts.withColumn("is_text", F.lit(1)).withColumn("logs", F.lit(None).cast("binary")).unionByName(answers.withColumn("is_text", F.lit(0)), allowMissingColumns=True)
     chunks = max(1, texts.select("chunk").distinct().count())
-    both = both.select("doc_id", "is_text", "held_out", "chunk", "text", "logs").repartition(4 * chunks, "chunk").sortWithinPartitions("chunk", "is_text")
+    both = both.select("chunk", "is_text", "text", "logs").repartition(4 * chunks, "chunk").sortWithinPartitions("chunk", "is_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = _word_logs(tag, *shared.value)
