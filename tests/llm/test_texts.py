@@ -525,6 +525,18 @@ def test_kernel_of_long_and_gapped_tokens():
     assert toxicity.values(["q" * 100_000 + insult], table)[0] > 0.5
 
 
+def test_kernel_of_edges():
+    """How a token begins and ends counts; a value doesn't depend on the tokens beside it; pieces of long tokens meet."""
+    words = ["bomentear", "tabomentear", "bomente", "", "--", "é" * 40, "idiot" * 9000]
+    table = toxicity.fold(toxicity.edged(["bomentear", "idiot"]), np.ones(2))
+    got = toxicity.values(toxicity.edged(words), table)
+    assert got[0] > max(got[1], got[2]) and got[3] == got[4] == 0
+    assert all(toxicity.values(toxicity.edged([w]), toxicity.fixed_point(table))[0] == v for w, v in zip(words, got, strict=True))
+    assert np.allclose(got[:6], toxicity.kernel(toxicity.edged(words[:6]), toxicity.edged(["bomentear", "idiot"])) @ np.ones(2), atol=1e-4)
+    deep = "q" * (toxicity.PIECE - 4) + "bomentear" + "q" * 100
+    assert np.isclose(toxicity.values([deep], table)[0], toxicity.values(["q" * 40 + "bomentear" + "q" * 40], table)[0], atol=1e-9)
+
+
 def test_toxicity_held_out(spark):
     d, l = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(d, l, toxicity.held_out(F.col("doc_id")))

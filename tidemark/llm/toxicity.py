@@ -3,7 +3,8 @@
 The kernel compares tokens by their subsequences of 3 and 4 letters within a
 span of SPAN characters, each gap character costing a factor DECAY; a run of
 other characters than letters counts as one gap character. So "id.iot" and "idxiot" stay close to
-"idiot". A sentence's value is the largest of its tokens (letters spelled out
+"idiot". A token's two ends count as letters, so how a token begins is told
+apart from the same letters inside it. A sentence's value is the largest of its tokens (letters spelled out
 with spaces are joined to a token first), a document's the largest of its
 sentences.
 
@@ -22,8 +23,9 @@ Cases: a null or empty text scores as a text without tokens (the lowest).
 Null labels do not train; of repeated labels of an id the smallest counts.
 Without both classes among the labels the score is the smoothed share of
 label 1 (0.5 without any). Equal texts have equal scores. Long tokens are
-scored whole, in every window of WINDOW letters, a bounded number at once;
-long landmarks are cut into windows of that size. Other columns pass through; input
+scored whole, in every window of WINDOW letters, in pieces of a bounded size;
+values are sums of whole numbers, so they don't depend on what is scored
+beside a token; long landmarks are cut into windows of that size. Other columns pass through; input
 columns named like result columns are replaced. An empty table gives an empty
 result.
 """
@@ -34,7 +36,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations, islice
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +51,12 @@ SAMPLE = 20_000
 CUT = 0.3
 DECAY, SPAN = 0.5, 6
 WINDOW = 14
-LETTERS = 32
+#: Codes of letters: a-z, the ends of a token, and those of all other alphabets.
+LETTERS, EDGE, OTHERS = 40, 26, 13
+#: What stands for a token's ends in words that train or are scored.
+MARK = "\x02"
+#: Windows of a word in one piece, and letters of the pieces that are scored at once.
+PIECE, AT_ONCE = 1 << 15, 1 << 16
 #: Tokens brought to the driver to fit, at most, of either class, and landmarks.
 TOKENS, LANDMARKS = 3000, 128
 #: Characters of a token that is used to fit, at most (longer ones are scored, not learnt from).
@@ -65,11 +72,11 @@ _SPELLED = re.compile(r"(?:(?<=\s)|^)(?:\w[\s.*_-]{1,2}){3,}\w(?=\W|$)")
 
 
 def spell(token: str) -> list[int]:
-    """Letters as 0..31 (other alphabets folded to 6 codes), a run of other characters as one -1."""
+    """Letters as codes (those of other alphabets folded to OTHERS codes), MARK as EDGE, a run of other characters as one -1."""
     out: list[int] = []
     for c in token:
         o = ord(c)
-        letter = o - 97 if 97 <= o < 123 else 26 + o % 6 if o > 127 and c.isalpha() else -1
+        letter = o - 97 if 97 <= o < 123 else EDGE + 1 + o % OTHERS if o > 127 and c.isalpha() else EDGE if c == MARK else -1
         if letter >= 0 or not out or out[-1] >= 0:
             out.append(letter)
     return out
@@ -85,6 +92,11 @@ def tokens(text: str) -> set[str]:
     return out
 
 
+def edged(words: list[str]) -> list[str]:
+    """The words with their ends marked."""
+    return [MARK + w + MARK for w in words]
+
+
 def _windows(words: list[str]) -> Iterator[tuple[int, list[int]]]:
     """Each word's windows, whole and overlapping by all but one letter, with the word's place."""
     for i, w in enumerate(words):
@@ -152,19 +164,68 @@ def fold(landmarks: list[str], beta: np.ndarray) -> np.ndarray:
     return out
 
 
-def values(words: list[str], table: np.ndarray) -> np.ndarray:
-    """The machine's value of each word: the largest of its windows."""
+def fixed_point(table: np.ndarray) -> tuple[np.ndarray, float]:
+    """The table in whole numbers, and their unit."""
+    unit = float(np.abs(table).max()) / 2**30 or 1.0
+    return np.rint(table / unit).astype(np.int32), unit
+
+
+def values(words: list[str], table: np.ndarray | tuple[np.ndarray, float]) -> np.ndarray:
+    """The machine's value of each word: the largest of its windows. table: of `fold`, or that as `fixed_point`."""
     if not words:
         return np.zeros(0)
+    fixed, unit = fixed_point(table) if isinstance(table, np.ndarray) else table
     out = np.full(len(words), -np.inf)
-    windows = _windows(words)
-    # by windows, not by words: a long token has as many as letters
-    while some := list(islice(windows, 4096)):
-        codes, weights, owner = _features(some)
-        np.maximum.at(out, owner, (table[np.maximum(codes, 0)] * weights).sum(1))
+    held: list[tuple[int, list[int]]] = []
+    size = 0
+    for i, w in enumerate(words):
+        s = spell(w)
+        for at in range(0, max(1, len(s) - WINDOW + 1), PIECE):
+            held.append((i, s[at : at + PIECE + WINDOW - 1]))
+            size += len(held[-1][1])
+            if size > AT_ONCE:
+                _largest(held, fixed, unit, out)
+                held, size = [], 0
+    if held:
+        _largest(held, fixed, unit, out)
     return out
 
 
+def _largest(pieces: list[tuple[int, list[int]]], fixed: np.ndarray, unit: float, out: np.ndarray) -> None:
+    """Raise each word's value to the largest of its piece's windows. Every subsequence is looked up once; windows take differences of running sums."""
+    length = np.array([len(s) for _, s in pieces], np.int64)
+    start = np.cumsum(length + SPAN) - length - SPAN
+    flat = np.full(int((length + SPAN).sum()), -1, np.int64)
+    flat[np.repeat(start - np.cumsum(length) + length, length) + np.arange(length.sum())] = np.fromiter(chain.from_iterable(s for _, s in pieces), np.int64, int(length.sum()))
+    n_windows = np.maximum(1, length - WINDOW + 1)
+    first = np.cumsum(n_windows) - n_windows
+    begin = np.repeat(start - first, n_windows) + np.arange(n_windows.sum())
+    end = np.minimum(begin + WINDOW, np.repeat(start + length, n_windows))
+    n = len(flat) - SPAN
+    value, square = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+    most = SPAN - 3  # gap characters of a subsequence; DECAY is a half, so weights are shifts
+    for offsets in _OFFSETS:
+        code, good = np.zeros(n, np.int64), np.ones(n, bool)
+        for o in offsets:
+            letter = flat[o : o + n]
+            good &= letter >= 0
+            code *= LETTERS
+            code += letter
+        code += LETTERS**3 if len(offsets) == 4 else 0
+        gap = offsets[-1] + 1 - len(offsets)
+        at = np.flatnonzero(good)
+        weighed, used = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+        weighed[at + 1] = fixed[code[at]].astype(np.int64) << most - gap
+        used[at + 1] = 1 << 2 * (most - gap)
+        weighed, used = np.cumsum(weighed), np.cumsum(used)
+        last = np.maximum(end - offsets[-1], begin)
+        value += weighed[last] - weighed[begin]
+        square += used[last] - used[begin]
+    # both carry the factor 2**most
+    got = value * unit / np.sqrt(np.maximum(square, 1))
+    np.maximum.at(out, np.array([i for i, _ in pieces]), np.maximum.reduceat(got, first))
+
+
 @dataclass
 class Model:
     """Without a table (one class only), every text has the score sigmoid(offset)."""
@@ -182,7 +243,7 @@ class Scorer:
     """A document's largest token value; token values are remembered up to a bound."""
 
     def __init__(self, table: np.ndarray):
-        self.table, self.seen = table, {}
+        self.table, self.seen = fixed_point(table), {}
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         own = [tokens(t) for t in texts]
@@ -190,7 +251,7 @@ class Scorer:
         if len(self.seen) + len(new) > REMEMBERED:
             self.seen = {}
             new = sorted(set().union(*own))
-        self.seen.update(zip(new, values(new, self.table).tolist(), strict=True))
+        self.seen.update(zip(new, values(edged(new), self.table).tolist(), strict=True))
         return np.array([max(map(self.seen.__getitem__, o), default=-1.0) for o in own])
 
 
@@ -269,9 +330,9 @@ def _valued(table_of_tokens: DataFrame, table: np.ndarray) -> DataFrame:
     shared = table_of_tokens.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fixed = fixed_point(shared.value)
         for b in batches:
-            words = b.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(values(words, shared.value).astype(float))], names=["token", "value"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(values(edged(b.column(0).to_pylist()), fixed).astype(float))], names=["token", "value"])
 
     return table_of_tokens.select("token").mapInArrow(run, "token string, value double")
 
@@ -321,21 +382,23 @@ def train(df: DataFrame, labels: DataFrame, skip: Column, bound: int = SAMPLE) -
     bent = sorted({v for w in good[:BENT] for v in variants(w)} - set(good) - set(plain))
     negatives = sorted(set(plain) - set(good))
     table = bias = None
+    near: list[str] = []  # clean tokens that the machine ranked highest
     for _ in range(3):
-        landmarks = good[:LANDMARKS] + [negatives[i] for i in np.linspace(0, len(negatives) - 1, min(LANDMARKS, len(negatives))).astype(int)]
-        landmarks = list(dict.fromkeys(p for w in landmarks for p in parts(w)))
+        landmarks = good[:LANDMARKS] + near[:LANDMARKS] + [negatives[i] for i in np.linspace(0, len(negatives) - 1, min(LANDMARKS, len(negatives))).astype(int)]
+        landmarks = list(dict.fromkeys(p for w in edged(landmarks) for p in parts(w)))
         gram = kernel(landmarks, landmarks).astype(float)
         lam, vec = np.linalg.eigh((gram + gram.T) / 2)
         keep = lam > 1e-6 * lam.max()
         white = vec[:, keep] / np.sqrt(lam[keep])
-        words = good + bent + negatives
+        words = edged(good + bent + negatives)
         x = kernel(words, landmarks) @ white
         y = np.append(np.ones(len(good) + len(bent)), -np.ones(len(negatives)))
         weight = np.concatenate([weight_of / weight_of.sum(), np.full(len(bent), 0.5 / max(len(bent), 1)), np.full(len(negatives), 2.0 / len(negatives))]) * len(words)
         u, bias = _machine(x, y, weight)
         table = fold(landmarks, white @ u)
         hard = _valued(clean, table).orderBy(F.col("value").desc(), "token").limit(TOKENS).collect()
-        negatives = sorted(set(negatives) | {r.token for r in hard if r.value + bias > -0.9} - set(good))
+        near = [r.token for r in hard if r.value + bias > -0.9 and r.token not in set(good)]
+        negatives = sorted(set(negatives) | set(near))
     assert table is not None and bias is not None
     tops = with_top(sample, table).select("y", "_top").toPandas().sort_values(["y", "_top"])
     slope, offset = _logistic(tops["_top"].to_numpy(), tops["y"].to_numpy())
