@@ -13,8 +13,8 @@ the label; what makes a sentence of a toxic document toxic is found by
 multiple-instance witnesses: each toxic document's token that best separates
 the labels. Landmarks are drawn from the witnesses and from clean tokens;
 kernel values to the landmarks are whitened (Nystroem), a squared-hinge linear
-machine is fitted on them, clean tokens that it ranks too high are added and
-it is fitted again. As all is linear in the kernel's features, the machine
+machine is fitted on them, clean tokens that it ranks too high and the tokens that it
+ranks highest in toxic documents are added and it is fitted again. As all is linear in the kernel's features, the machine
 folds into one weight for each subsequence, a table of fixed size, which is
 broadcast. A logistic curve on the largest value, fitted on documents, gives
 the score.
@@ -59,6 +59,8 @@ MARK = "\x02"
 PIECE, AT_ONCE = 1 << 15, 1 << 16
 #: Tokens brought to the driver to fit, at most, of either class, and landmarks.
 TOKENS, LANDMARKS = 3000, 128
+#: Times that the machine is fitted.
+ROUNDS = 4
 #: Characters of a token that is used to fit, at most (longer ones are scored, not learnt from).
 LONGEST = 200
 #: Witnesses whose variants train.
@@ -326,6 +328,24 @@ def _witnesses(sample: DataFrame, rank: dict[str, int]) -> DataFrame:
     return sample.where("y = 1").select("text").mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def _tops(sample: DataFrame, table: np.ndarray, least: float) -> DataFrame:
+    """token, n: how many toxic documents have the token as their largest, with a value of `least` or more."""
+    shared = sample.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fixed = fixed_point(shared.value)
+        for _, texts in common.text_chunks(batches, "text", 16 << 20):
+            got: Counter = Counter()
+            for t in _texts(texts):
+                own = sorted(tokens(t))
+                v = values(edged(own), fixed)
+                if own and v.max() >= least:
+                    got[own[int(v.argmax())]] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["token", "n"])
+
+    return sample.where("y = 1").select("text").mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
 def _valued(table_of_tokens: DataFrame, table: np.ndarray) -> DataFrame:
     shared = table_of_tokens.sparkSession.sparkContext.broadcast(table)
 
@@ -376,26 +396,33 @@ def train(df: DataFrame, labels: DataFrame, skip: Column, bound: int = SAMPLE) -
     if not found:
         p = n[1] / (n[0] + n[1])
         return Model(None, 0.0, 0.0, float(np.log(p / (1 - p))))
-    good = [r.token for r in found]
-    weight_of = np.array([float(np.sqrt(r.n)) for r in found])
+    times = {r.token: r.n for r in found}
+    good = list(times)
     # inserted and spelled-over letters: some variants of the strongest witnesses train as well, at a lower weight
-    bent = sorted({v for w in good[:BENT] for v in variants(w)} - set(good) - set(plain))
+    bent = sorted({v for w in good[:BENT] for v in variants(w)} - set(plain))
     negatives = sorted(set(plain) - set(good))
     table = bias = None
     near: list[str] = []  # clean tokens that the machine ranked highest
-    for _ in range(3):
+    for _ in range(ROUNDS):
+        weight_of = np.sqrt([float(times[w]) for w in good])
         landmarks = good[:LANDMARKS] + near[:LANDMARKS] + [negatives[i] for i in np.linspace(0, len(negatives) - 1, min(LANDMARKS, len(negatives))).astype(int)]
         landmarks = list(dict.fromkeys(p for w in edged(landmarks) for p in parts(w)))
         gram = kernel(landmarks, landmarks).astype(float)
         lam, vec = np.linalg.eigh((gram + gram.T) / 2)
         keep = lam > 1e-6 * lam.max()
         white = vec[:, keep] / np.sqrt(lam[keep])
+        bent = [w for w in bent if w not in times]
+        negatives = [w for w in negatives if w not in times]
         words = edged(good + bent + negatives)
         x = kernel(words, landmarks) @ white
         y = np.append(np.ones(len(good) + len(bent)), -np.ones(len(negatives)))
         weight = np.concatenate([weight_of / weight_of.sum(), np.full(len(bent), 0.5 / max(len(bent), 1)), np.full(len(negatives), 2.0 / len(negatives))]) * len(words)
         u, bias = _machine(x, y, weight)
         table = fold(landmarks, white @ u)
+        # the machine's own witnesses: they may be rarer than those that were counted
+        own = _tops(sample, table, -bias - 0.5).join(counts.where(odds > 2).select("token"), "token").orderBy(F.col("n").desc(), "token").limit(TOKENS).collect()
+        times = dict(sorted((times | {r.token: max(r.n, times.get(r.token, 0)) for r in own}).items(), key=lambda x: (-x[1], x[0])))
+        good = list(times)
         hard = _valued(clean, table).orderBy(F.col("value").desc(), "token").limit(TOKENS).collect()
         near = [r.token for r in hard if r.value + bias > -0.9 and r.token not in set(good)]
         negatives = sorted(set(negatives) | set(near))
