@@ -274,8 +274,13 @@ def _classes(docs: DataFrame, threshold: float, recall: float) -> tuple[DataFram
     found = _texts_of(docs, info, unique).select("k", "copies", "root", "blocks", "block", "text")
     sets = _sets(found)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = sets.select("*", other).select("k", "copies", "blocks", "set", F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other")).alias("grp"), ((F.col("block") != F.col("other")) & (F.col("block") > F.col("other"))).alias("side"))
-    checked = pairs.repartition("grp").sortWithinPartitions("grp").mapInArrow(_verified(threshold), "k long, root long, texts long, docs long, blocks int")
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    # a cluster's pairs of blocks are numbered and dealt to the tasks in turn, so no task gets several by chance
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = (high.cast("long") * (high + 1) / 2).cast("long") + low
+    place = F.pmod(F.pmod(F.xxhash64("root"), F.lit(tasks)) + number, F.lit(tasks)).cast("int")
+    pairs = sets.select("*", other).select("k", "copies", "blocks", "set", F.xxhash64("root", low, high).alias("grp"), ((F.col("block") != F.col("other")) & (F.col("block") > F.col("other"))).alias("side"), place.alias("place"))
+    checked = pairs.repartitionById(tasks, "place").drop("place").sortWithinPartitions("grp").mapInArrow(_verified(threshold), "k long, root long, texts long, docs long, blocks int")
     checked = common.settle(checked, "checked")
 
     roots = checked.where("blocks = 1").select("k", "root")
