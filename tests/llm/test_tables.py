@@ -43,6 +43,23 @@ def test_components_of_a_hub(spark, monkeypatch):
     assert got == want
 
 
+def test_components_plan_few_scans(spark, monkeypatch):
+    """The driver holds a round's plans in its memory: each reads a few tables, however long a chain; no star is planned again wherever the next reads it."""
+    scans, settle = [], common.settle
+
+    def counted(df, name, *rest):
+        scans.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return settle(df, name, *rest)
+
+    monkeypatch.setattr(common, "settle", counted)
+    monkeypatch.setattr(common, "LIGHT", 5)
+    monkeypatch.setattr(common, "SHARE", 10**9)
+    edges = [(i + 1, i) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(100, i) for i in range(101, 110)] + [(200, 200), (-7, 300), (300, -9)]
+    got = {(x.node, x.root) for x in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {(i, 0) for i in range(41)} | {(i, 100) for i in range(100, 130)} | {(i, -9) for i in (-9, -7, 300)}
+    assert len(scans) > 3 and max(scans) <= 6
+
+
 def vectors(spark):
     r = np.random.default_rng(3)
     v = r.standard_normal((1500, 64)).astype(np.float32)

@@ -111,8 +111,8 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple
 LIGHT, SHARE = 256, 5000
 
 
-def _with_least(edges: DataFrame, least: DataFrame, most: int) -> DataFrame:
-    """edges(a, b) with m of their node a, from least(n, m, edges).
+def _with_least(edges: DataFrame, node: str, least: DataFrame, most: int) -> DataFrame:
+    """edges(a, b) with m of their node in column `node`, from least(n, m, edges).
 
     Nodes of more than `most` edges are broadcast with their m: as their edges
     sum up to the table's at most, there are at most rows / most of them. All
@@ -120,8 +120,8 @@ def _with_least(edges: DataFrame, least: DataFrame, most: int) -> DataFrame:
     """
     heavy, light = least.where(F.col("edges") > most).select("n", "m"), least.where(F.col("edges") <= most).select("n", "m")
     few = F.broadcast(heavy)
-    on = edges.a == few.n
-    return edges.join(few, on).unionByName(edges.join(few, on, "left_anti").join(light, edges.a == light.n)).drop("n")
+    on = edges[node] == few.n
+    return edges.join(few, on).unionByName(edges.join(few, on, "left_anti").join(light, edges[node] == light.n)).drop("n")
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -129,30 +129,31 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Returns (node, root): every node of an edge with its component's smallest
     node. Every round is two aggregations and two joins on nodes; nothing is
-    collected but two numbers. A hub's edges are not gathered in one task: its
-    minimum is pre-aggregated and comes to them by broadcast. Self-loops and
-    repeated edges are harmless; no edges give no rows.
+    collected but two numbers. Each star is written by itself, so the driver
+    plans a few scans at a time: one plan of both repeats the first star at
+    every place where the second reads it. A hub's edges are not gathered in
+    one task: its minimum is pre-aggregated and comes to them by broadcast.
+    Self-loops and repeated edges are harmless; no edges give no rows.
     """
 
-    def canonical(e: DataFrame) -> DataFrame:
-        return e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-
     def mark(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    edges = settle(canonical(edges), "edges")
+    # the first node of an edge is always the larger one
+    edges = settle(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     before = mark(edges)
     for _ in range(max_rounds):
         if not before[0]:
             break
         most = max(LIGHT, 2 * before[0] // SHARE)  # so SHARE nodes at most are broadcast
-        both = edges.union(edges.select("b", "a").toDF("a", "b"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("edges")).withColumnRenamed("a", "n")
-        large = canonical(_with_least(both, least, most).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("edges")).withColumnRenamed("a", "n")
-        joined = _with_least(large, least, most)
-        small = joined.select("b", "m").toDF("a", "b").union(joined.select("a", "m").toDF("a", "b"))
-        edges = settle(canonical(small), "edges")
+        ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.col("b").alias("m")), F.struct(F.col("b").alias("n"), F.col("a").alias("m")))).alias("end"))
+        least = ends.groupBy(F.col("end.n").alias("n")).agg(F.min(F.least("end.n", "end.m")).alias("m"), F.count("*").alias("edges"))
+        # large star: a node's larger neighbours are linked to the least of it and all its neighbours
+        large = settle(_with_least(edges, "b", least, most).select("a", F.col("m").alias("b")).distinct(), "large")
+        least = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"), F.count("*").alias("edges"))
+        # small star: a node and its smaller neighbours are linked to the least of these; the node itself takes the place of the least
+        linked = F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b"))
+        edges = settle(_with_least(large, "a", least, most).select(linked.alias("a"), F.col("m").alias("b")).distinct(), "edges")
         after = mark(edges)
         if after == before:
             break
