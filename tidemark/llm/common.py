@@ -109,6 +109,8 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple
 
 #: Edges of a node that one task may join at least, and the share of all edges that it may.
 LIGHT, SHARE = 256, 5000
+#: Edges that a file of `components` holds at least, on average. Every file costs a list entry, a task's start and helper processes.
+FILE = 16_384
 
 
 def _with_least(edges: DataFrame, node: str, least: DataFrame, most: int) -> DataFrame:
@@ -146,14 +148,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not before[0]:
             break
         most = max(LIGHT, 2 * before[0] // SHARE)  # so SHARE nodes at most are broadcast
+        files = -(-before[0] // FILE)  # no star adds edges
         ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.col("b").alias("m")), F.struct(F.col("b").alias("n"), F.col("a").alias("m")))).alias("end"))
         least = ends.groupBy(F.col("end.n").alias("n")).agg(F.min(F.least("end.n", "end.m")).alias("m"), F.count("*").alias("edges"))
         # large star: a node's larger neighbours are linked to the least of it and all its neighbours
-        large = settle(_with_least(edges, "b", least, most).select("a", F.col("m").alias("b")).distinct(), "large")
+        large = settle(_with_least(edges, "b", least, most).select("a", F.col("m").alias("b")).distinct().coalesce(files), "large")
         least = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"), F.count("*").alias("edges"))
         # small star: a node and its smaller neighbours are linked to the least of these; the node itself takes the place of the least
         linked = F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b"))
-        edges = settle(_with_least(large, "a", least, most).select(linked.alias("a"), F.col("m").alias("b")).distinct(), "edges")
+        edges = settle(_with_least(large, "a", least, most).select(linked.alias("a"), F.col("m").alias("b")).distinct().coalesce(files), "edges")
         after = mark(edges)
         if after == before:
             break
